@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from genoweave.llm import sharding
+from genoweave.llm import langid, licenses, linededup, secrets, sharding
 
-QUERIES = {"op10_sharding": sharding.op10_sharding}
-ORACLES: dict[str, str] = {"op10_sharding": sharding.SQL}
+QUERIES = {
+    "op5_line_dedup": linededup.op5_line_dedup,
+    "op6_language": langid.op6_language,
+    "op8_secrets": secrets.op8_secrets,
+    "op9_licenses": licenses.op9_licenses,
+    "op10_sharding": sharding.op10_sharding,
+}
+ORACLES: dict[str, str] = {"op5_line_dedup": linededup.SQL, "op9_licenses": licenses.SQL, "op10_sharding": sharding.SQL}
