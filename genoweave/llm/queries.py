@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from genoweave.llm import langid, licenses, linededup, secrets, sharding
+from genoweave.llm import langid, licenses, linededup, packing, secrets, sharding, simhash, sketches
 
 QUERIES = {
+    "op1_fingerprints": sketches.op1_fingerprints,
+    "op3_packing": packing.op3_packing,
+    "op4_simhash": simhash.op4_simhash,
     "op5_line_dedup": linededup.op5_line_dedup,
     "op6_language": langid.op6_language,
     "op8_secrets": secrets.op8_secrets,
