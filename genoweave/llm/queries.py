@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from genoweave.llm import langid, licenses, linededup, packing, secrets, sharding, simhash, sketches
+from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches
 
 QUERIES = {
     "op1_fingerprints": sketches.op1_fingerprints,
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
     "op5_line_dedup": linededup.op5_line_dedup,
@@ -14,4 +15,9 @@ QUERIES = {
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
 }
-ORACLES: dict[str, str] = {"op5_line_dedup": linededup.SQL, "op9_licenses": licenses.SQL, "op10_sharding": sharding.SQL}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontaminate.SQL,
+    "op5_line_dedup": linededup.SQL,
+    "op9_licenses": licenses.SQL,
+    "op10_sharding": sharding.SQL,
+}
