@@ -18,7 +18,7 @@ from genoweave.session import checkpointed, partitions
 MAX_TOKENS = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 700_000  # words remembered by one Python worker
+MEMO_WORDS = 1_600_000  # words remembered by one Python worker
 ENCODE_WORDS = 20_000  # words encoded in one call
 
 
@@ -62,9 +62,13 @@ class WordEncoder:
             self.memo, new = {"": b""}, words - {""}
         # "word," and "word." are the word's ids and the mark's: no pattern takes both together
         marked = {w for w in new if len(w) > 1 and w[-1] in ",." and w[-2].isalpha()}
-        plain = (new - marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}
-        self._learn(sorted(plain.difference(self.memo)))
+        bases = (new - marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}
+        # the vocabulary lower-cases; up to U+00FF that is the same one-to-one mapping here
+        lower = {w: w.lower() for w in bases if max(w, default="") < "\u0100"}
+        self._learn(sorted({lower.get(w, w) for w in bases}.difference(self.memo)))
         memo = self.memo
+        for w, low in lower.items():
+            memo[w] = memo[low]
         for w in marked:
             memo[w] = memo[w[:-1]] + memo[w[-1]]
         return [b"".join([memo[w] for w in ws]) for ws in split]
