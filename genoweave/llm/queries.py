@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches
+from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches, substrings
 
 QUERIES = {
     "op1_fingerprints": sketches.op1_fingerprints,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_line_dedup": linededup.op5_line_dedup,
     "op6_language": langid.op6_language,
+    "op7_substrings": substrings.op7_substrings,
     "op8_secrets": secrets.op8_secrets,
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
