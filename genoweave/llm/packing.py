@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 MEMO_WORDS = 1_600_000  # words remembered by one Python worker
 ENCODE_WORDS = 20_000  # words encoded in one call
+ENCODE_TEXTS = 4_000  # texts whose words are looked up together
 
 
 class WordEncoder:
@@ -37,8 +39,6 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {"": b""}
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo = {"": b""}
         for i in range(0, len(words), ENCODE_WORDS):
             part = words[i : i + ENCODE_WORDS]
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -50,28 +50,39 @@ class WordEncoder:
                 self.memo[w] = data[4 * start : 4 * end]
                 start = end
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        if len(words) > MEMO_WORDS and len(texts) > 1:
-            half = len(texts) // 2
-            return self(texts[:half]) + self(texts[half:])
-        new = words.difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo, new = {"": b""}, words - {""}
+    def _meet(self, new: set[str]) -> None:
+        """Learn words that the memo lacks."""
         # "word," and "word." are the word's ids and the mark's: no pattern takes both together
         marked = {w for w in new if len(w) > 1 and w[-1] in ",." and w[-2].isalpha()}
         bases = (new - marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}
         # the vocabulary lower-cases; up to U+00FF that is the same one-to-one mapping here
         lower = {w: w.lower() for w in bases if max(w, default="") < "\u0100"}
-        self._learn(sorted({lower.get(w, w) for w in bases}.difference(self.memo)))
+        self._learn(list({lower.get(w, w) for w in bases}.difference(self.memo)))
         memo = self.memo
         for w, low in lower.items():
             memo[w] = memo[low]
         for w in marked:
             memo[w] = memo[w[:-1]] + memo[w[-1]]
-        return [b"".join([memo[w] for w in ws]) for ws in split]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an array of strings (null: empty), and where each text's ids begin and end."""
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        index, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        found = list(map(self.memo.get, words))
+        new = {w for w, ids in zip(words, found, strict=True) if ids is None}
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo, new = {"": b""}, set(words)
+        if new:
+            self._meet(new)
+            found = list(map(self.memo.__getitem__, words))
+        size = np.array(list(map(len, found)), dtype=np.int64) // 4
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        took = size[index]
+        ends = np.cumsum(took)
+        shift = (np.cumsum(size) - size)[index] - (ends - took)
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, took)], np.concatenate(([0], ends))[bounds]
 
 
 @lru_cache(maxsize=1)
@@ -92,18 +103,16 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | None,
         encode = _encoder(vocabulary or default_vocabulary())
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
             out: list[list] = [[] for _ in range(5)]
-            row = 0
-            for i in range(0, len(texts), 256):
-                for ids in encode(texts[i : i + 256]):
-                    ids += end
-                    n = len(ids) // 4
+            for first in range(0, batch.num_rows, ENCODE_TEXTS):
+                ids, bounds = encode(batch["text"].slice(first, ENCODE_TEXTS))
+                for row in range(len(bounds) - 1):
+                    data = ids[bounds[row] : bounds[row + 1]].tobytes() + end
+                    n = len(data) // 4
                     for start in range(0, n, limit):
-                        part = ids[4 * start : 4 * (start + limit)]
-                        for column, x in zip(out, (row, start, len(part) // 4, zlib.crc32(part), n), strict=True):
+                        part = data[4 * start : 4 * (start + limit)]
+                        for column, x in zip(out, (first + row, start, len(part) // 4, zlib.crc32(part), n), strict=True):
                             column.append(x)
-                    row += 1
             owner = batch["id"].take(pa.array(out[0], pa.int64()))
             rest = [pa.array(c, pa.int64()) for c in out[1:]]
             yield pa.RecordBatch.from_arrays([owner, *rest], ["id", "start", "length", "ids_crc32", "doc_tokens"])
