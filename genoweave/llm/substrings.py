@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ TRIGGER = 32  # bytes of a trigger
 STEP = 1 << 20  # window starts that are hashed at once
 SAMPLE_DOCS = 2000  # about so many documents tell which triggers are frequent
 FREQUENT = 20  # times in that sample
+SIDE = LENGTH - TRIGGER - LENGTH // 3 - 1  # bytes next to a trigger: a window has so many on its left or right
+TEXTS, WINDOWS = 2500, 300_000  # texts, or windows, that are decided together in a task
 NULL_ID = -(1 << 63)  # stands for a null id, which sorts first
 
 _REACH = LENGTH - TRIGGER + 1  # triggers in a window
@@ -62,16 +65,18 @@ class Hashes:
 
 
 def phrases(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(trigger, phrase, lo, hi) over concatenated texts that end at ``ends``.
+    """(trigger, phrase, lo, hi, sides) over concatenated texts that end at ``ends``.
 
     The trigger of a window of LENGTH bytes is its TRIGGER bytes of the least rolling hash, the
     leftmost of equals, so it depends on the window's content alone and every window has one.
     Neighbouring windows with the same trigger, those that start at lo to hi, form a phrase: the
-    bytes from lo to hi + LENGTH. Windows never cross the end of a text.
+    bytes from lo to hi + LENGTH. Windows never cross the end of a text. ``sides`` packs the
+    trigger's place after lo and two 12-bit hashes: of the trigger with the SIDE bytes before it and
+    with those after it; every window contains one of the two.
     """
     none = np.empty(0, dtype=np.int64)
     if len(data) < LENGTH:
-        return none.view(np.uint64), none.view(np.uint64), none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
     h = Hashes(data)
     trigger = h.triggers()
     packed = (trigger & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(trigger), dtype=np.uint64)
@@ -86,11 +91,15 @@ def phrases(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     own = np.repeat(ends, np.diff(ends, prepend=0))[:windows]  # the end of the text of each start
     start = np.flatnonzero(np.arange(windows) + LENGTH <= own)
     if not len(start):
-        return none.view(np.uint64), none.view(np.uint64), none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
     at = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     lo, hi = start[first], start[np.concatenate((first[1:], [len(start)])) - 1]
-    return trigger[at[first]], h.of(lo, hi + LENGTH), lo, hi
+    at = at[first]
+    before = h.of(np.maximum(at - SIDE, lo), at + TRIGGER) & np.uint64(0xFFF)
+    after = h.of(at, np.minimum(at + TRIGGER + SIDE, hi + LENGTH)) & np.uint64(0xFFF)
+    sides = (at - lo) | (before.astype(np.int64) << 7) | (after.astype(np.int64) << 19)
+    return trigger[at], h.of(lo, hi + LENGTH), lo, hi, sides
 
 
 def _parts(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, np.ndarray]]:
@@ -135,59 +144,75 @@ def _merged(ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarr
     return ident[first], lo[first], np.maximum.reduceat(hi, first) if len(first) else hi[first]
 
 
-def _rows(settled: tuple, keys: tuple[np.ndarray, np.ndarray], ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
-    """Undecided rows, then ranges already known to repeat under keys that spread them evenly."""
-    sid, slo, shi = settled
-    spread = _mix(sid.view(np.uint64) + np.arange(len(sid), dtype=np.uint64))
-    cols = [
-        np.concatenate((np.zeros(len(lo), dtype=bool), np.ones(len(sid), dtype=bool))),
-        np.concatenate((keys[0], spread)).view(np.int64),
-        np.concatenate((keys[1], spread)).view(np.int64),
-        np.concatenate((ident, sid)),
-        np.concatenate((lo, slo)).astype(np.int32),
-        np.concatenate((hi, shi)).astype(np.int32),
-    ]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["known", "trigger", "key", "id", "lo", "hi"])
-
-
-_ROWS = "known boolean, trigger bigint, key bigint, id bigint, lo int, hi int"
+_ROWS = "known boolean, trigger bigint, key bigint, id bigint, lo int, hi int, sides int"
 
 
 def _decide_locally(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Of equal keys in one batch only the earliest is sent on; the others repeat for certain."""
-    trigger, key, ident, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
+    """Of equal keys here only the earliest is sent on; the others repeat for certain.
+
+    found: (trigger, key, id, lo, hi, sides). The rows known to repeat follow as merged ranges,
+    under keys that spread them evenly.
+    """
+    trigger, key, ident, lo, hi, sides = (np.concatenate(x) for x in zip(*found, strict=True))
     first = _firsts((key, trigger), ident, lo)
-    settled = _merged(ident[~first], lo[~first], hi[~first])
-    return _rows(settled, (trigger[first], key[first]), ident[first], lo[first], hi[first])
+    sid, slo, shi = _merged(ident[~first], lo[~first], hi[~first])
+    spread = _mix(sid.view(np.uint64) + np.arange(len(sid), dtype=np.uint64)).view(np.int64)
+    known = np.concatenate((np.zeros(int(first.sum()), dtype=bool), np.ones(len(sid), dtype=bool)))
+    cols = (
+        (trigger[first].view(np.int64), spread),
+        (key[first].view(np.int64), spread),
+        (ident[first], sid),
+        (lo[first].astype(np.int32), slo.astype(np.int32)),
+        (hi[first].astype(np.int32), shi.astype(np.int32)),
+        (sides[first].astype(np.int32), np.zeros(len(sid), dtype=np.int32)),
+    )
+    return pa.RecordBatch.from_arrays([pa.array(known), *(pa.array(np.concatenate(c)) for c in cols)], [c.split()[0] for c in _ROWS.split(", ")])
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, ids, found = batch["text"].to_pylist(), batch["id"].to_numpy(), []
-        for owner, skip, data, ends in _parts(texts):
-            trigger, phrase, lo, hi = phrases(data, ends)
-            j = np.searchsorted(ends, lo, side="right")
-            shift = np.array(skip)[j] - (ends - np.diff(ends, prepend=0))[j]
-            found.append((trigger, phrase, ids[np.array(owner)[j]], lo + shift, hi + shift))
-        if found:
-            yield _decide_locally(found)
+    for whole in batches:
+        for first in range(0, whole.num_rows, TEXTS):
+            batch = whole.slice(first, TEXTS)
+            ids, found = batch["id"].to_numpy(), []
+            for owner, skip, data, ends in _parts(batch["text"].to_pylist()):
+                trigger, phrase, lo, hi, sides = phrases(data, ends)
+                j = np.searchsorted(ends, lo, side="right")
+                shift = np.array(skip)[j] - (ends - np.diff(ends, prepend=0))[j]
+                found.append((trigger, phrase, ids[np.array(owner)[j]], lo + shift, hi + shift, sides))
+            if found:
+                yield _decide_locally(found)
+
+
+def _lists(column: pa.Array, *fields: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """The fields of each row's list of structs; empty for null."""
+    flat = column.flatten()
+    values = [flat.field(f).to_numpy() for f in fields]
+    at = 0
+    for n in pc.fill_null(pc.list_value_length(column), 0).to_pylist():
+        yield tuple(v[at : at + n] for v in values)
+        at += n
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every window of the given phrases of each text, by its own hash."""
     for batch in batches:
-        found = []
-        for text, ident, spans in zip(batch["text"].to_pylist(), batch["id"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            lo, hi = np.array([s["lo"] for s in spans]), np.array([s["hi"] for s in spans])
-            trigger = np.array([s["trigger"] for s in spans], dtype=np.int64).view(np.uint64)
+        found, size = [], 0
+        spans = _lists(batch["spans"], "lo", "hi", "trigger")
+        for text, ident, (lo, hi, trigger) in zip(batch["text"], batch["id"].to_pylist(), spans, strict=True):
+            text, lo, hi = text.as_py(), lo.astype(np.int64), hi.astype(np.int64)
             for a in range(0, len(text), STEP):
                 here = (lo >= a) & (lo < a + STEP)
                 if here.any():
                     n = hi[here] - lo[here] + 1
                     start = np.arange(n.sum()) + np.repeat(lo[here] - (np.cumsum(n) - n), n)
-                    start = start[start + LENGTH <= len(text)]
+                    own, fits = np.repeat(trigger[here].view(np.uint64), n), start + LENGTH <= len(text)
+                    own, start = own[fits], start[fits]
                     h = Hashes(text[a : a + STEP + 2 * LENGTH]).of(start - a, start - a + LENGTH)
-                    found.append((np.repeat(trigger[here], n)[: len(start)], h, np.full(len(start), ident), start, start))
+                    found.append((own, h, np.full(len(start), ident), start, start, np.zeros(len(start), dtype=np.int64)))
+                    size += len(start)
+            if size >= WINDOWS:
+                yield _decide_locally(found)
+                found, size = [], 0
         if found:
             yield _decide_locally(found)
 
@@ -213,10 +238,26 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     # a trigger with one phrase has nothing else to match
     several = (F.min("key").over(group) != F.max("key").over(group)) | (F.col("trigger").isin(often) if often else F.lit(False))
     parsed = parsed.withColumn("salt", salt.cast("int")).repartition(n, "known", "trigger", "salt")
-    told = _later(parsed, several.alias("several"))
-    told = told.filter("known or not first or several").select("id", "trigger", "lo", "hi", (F.col("known") | ~F.col("first")).alias("later"))
-    told = checkpointed(told)
-    open_spans = told.filter("not later").groupBy("id").agg(F.collect_list(F.struct("trigger", "lo", "hi")).alias("spans"))
+    told = _later(parsed, several.alias("several")).filter("known or not first or several")
+    told = checkpointed(told.withColumn("later", F.col("known") | ~F.col("first")).select("id", "trigger", "key", "lo", "hi", "sides", "later"))
+    # a window can only match another phrase that has the same bytes on one side of the trigger
+    at = F.col("lo") + F.col("sides").bitwiseAND(127)
+
+    def shared(side):
+        same = Window.partitionBy("trigger", side)
+        return (F.min("key").over(same) != F.max("key").over(same)) | (F.col("trigger").isin(often) if often else F.lit(False))
+
+    open_spans = (
+        told.filter("not later")
+        .withColumn("at", at)
+        .withColumn("left", shared(F.shiftright("sides", 7).bitwiseAND(0xFFF)))
+        .withColumn("right", shared(F.shiftright("sides", 19)))
+        .withColumn("lo", F.when(F.col("left"), F.col("lo")).otherwise(F.greatest("lo", F.col("at") - SIDE + 1)))
+        .withColumn("hi", F.when(F.col("right"), F.col("hi")).otherwise(F.least("hi", F.col("at") - SIDE)))
+        .filter((F.col("left") | F.col("right")) & (F.col("lo") <= F.col("hi")))
+        .groupBy("id")
+        .agg(F.collect_list(F.struct("trigger", "lo", "hi")).alias("spans"))
+    )
     texts = rows.join(open_spans.hint("shuffle_hash"), "id").select("id", "text", "spans")
     windows = _later(texts.mapInArrow(_windows, _ROWS).withColumn("salt", F.lit(0)))
     return told.filter("later").select("id", "lo", "hi").unionByName(windows.filter("known or not first").select("id", "lo", "hi"))
@@ -225,12 +266,13 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
+        for text, (lo, hi) in zip(batch["text"], _lists(batch["spans"], "lo", "hi"), strict=True):
+            text = text.as_py()
             n = len(text)
-            if spans:
-                edge = np.zeros(n + LENGTH + 1, dtype=np.int32)
-                np.add.at(edge, np.minimum([s["lo"] for s in spans], n), 1)
-                np.add.at(edge, np.minimum([s["hi"] + LENGTH for s in spans], n), -1)
+            if len(lo):
+                edge = np.zeros(n + 1, dtype=np.int32)
+                np.add.at(edge, np.minimum(lo, n), 1)
+                np.add.at(edge, np.minimum(hi + LENGTH, n), -1)
                 gone = np.cumsum(edge)[:n] > 0
                 text = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
                 out.append((text, n, int(gone.sum()), int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))))
