@@ -23,6 +23,7 @@ SIDE = LENGTH - TRIGGER - LENGTH // 3 - 1  # bytes next to a trigger: a window h
 TEXTS, WINDOWS = 2500, 300_000  # texts, or windows, that are decided together in a task
 NULL_ID = -(1 << 63)  # stands for a null id, which sorts first
 
+_TOP40 = ~np.uint64(0xFFFFFF)
 _REACH = LENGTH - TRIGGER + 1  # triggers in a window
 _TABLE = np.random.default_rng(7).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -65,18 +66,20 @@ class Hashes:
 
 
 def phrases(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(trigger, phrase, lo, hi, sides) over concatenated texts that end at ``ends``.
+    """(trigger, phrase, lo, hi) over concatenated texts that end at ``ends``.
 
     The trigger of a window of LENGTH bytes is its TRIGGER bytes of the least rolling hash, the
     leftmost of equals, so it depends on the window's content alone and every window has one.
     Neighbouring windows with the same trigger, those that start at lo to hi, form a phrase: the
-    bytes from lo to hi + LENGTH. Windows never cross the end of a text. ``sides`` packs the
-    trigger's place after lo and two 12-bit hashes: of the trigger with the SIDE bytes before it and
-    with those after it; every window contains one of the two.
+    bytes from lo to hi + LENGTH. Windows never cross the end of a text.
+
+    ``trigger`` has 40 bits of the trigger's hash, then two 12-bit hashes of the trigger with the
+    SIDE bytes before it and with those after it, one of which every window contains. ``phrase`` has
+    48 bits of the phrase's hash, then hi - lo and the trigger's place after lo.
     """
     none = np.empty(0, dtype=np.int64)
     if len(data) < LENGTH:
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none
     h = Hashes(data)
     trigger = h.triggers()
     packed = (trigger & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(trigger), dtype=np.uint64)
@@ -91,15 +94,16 @@ def phrases(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     own = np.repeat(ends, np.diff(ends, prepend=0))[:windows]  # the end of the text of each start
     start = np.flatnonzero(np.arange(windows) + LENGTH <= own)
     if not len(start):
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none
     at = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     lo, hi = start[first], start[np.concatenate((first[1:], [len(start)])) - 1]
     at = at[first]
     before = h.of(np.maximum(at - SIDE, lo), at + TRIGGER) & np.uint64(0xFFF)
     after = h.of(at, np.minimum(at + TRIGGER + SIDE, hi + LENGTH)) & np.uint64(0xFFF)
-    sides = (at - lo) | (before.astype(np.int64) << 7) | (after.astype(np.int64) << 19)
-    return trigger[at], h.of(lo, hi + LENGTH), lo, hi, sides
+    packed = (trigger[at] & _TOP40) | (before << np.uint64(12)) | after
+    shape = ((hi - lo) << 8 | (at - lo)).astype(np.uint64)
+    return packed, (h.of(lo, hi + LENGTH) & ~np.uint64(0xFFFF)) | shape, lo, hi
 
 
 def _parts(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, np.ndarray]]:
@@ -144,27 +148,25 @@ def _merged(ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarr
     return ident[first], lo[first], np.maximum.reduceat(hi, first) if len(first) else hi[first]
 
 
-_ROWS = "known boolean, trigger bigint, key bigint, id bigint, lo int, hi int, sides int"
+_ROWS = "known boolean, trigger bigint, key bigint, id bigint, lo int"
 
 
 def _decide_locally(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """Of equal keys here only the earliest is sent on; the others repeat for certain.
 
-    found: (trigger, key, id, lo, hi, sides). The rows known to repeat follow as merged ranges,
-    under keys that spread them evenly.
+    found: (trigger, key, id, lo, hi). The rows known to repeat follow as merged ranges whose key is
+    hi - lo, under triggers that spread them evenly.
     """
-    trigger, key, ident, lo, hi, sides = (np.concatenate(x) for x in zip(*found, strict=True))
-    first = _firsts((key, trigger), ident, lo)
+    trigger, key, ident, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
+    first = _firsts((key, trigger & _TOP40), ident, lo)
     sid, slo, shi = _merged(ident[~first], lo[~first], hi[~first])
     spread = _mix(sid.view(np.uint64) + np.arange(len(sid), dtype=np.uint64)).view(np.int64)
     known = np.concatenate((np.zeros(int(first.sum()), dtype=bool), np.ones(len(sid), dtype=bool)))
     cols = (
         (trigger[first].view(np.int64), spread),
-        (key[first].view(np.int64), spread),
+        (key[first].view(np.int64), shi - slo),
         (ident[first], sid),
         (lo[first].astype(np.int32), slo.astype(np.int32)),
-        (hi[first].astype(np.int32), shi.astype(np.int32)),
-        (sides[first].astype(np.int32), np.zeros(len(sid), dtype=np.int32)),
     )
     return pa.RecordBatch.from_arrays([pa.array(known), *(pa.array(np.concatenate(c)) for c in cols)], [c.split()[0] for c in _ROWS.split(", ")])
 
@@ -175,10 +177,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(first, TEXTS)
             ids, found = batch["id"].to_numpy(), []
             for owner, skip, data, ends in _parts(batch["text"].to_pylist()):
-                trigger, phrase, lo, hi, sides = phrases(data, ends)
+                trigger, phrase, lo, hi = phrases(data, ends)
                 j = np.searchsorted(ends, lo, side="right")
                 shift = np.array(skip)[j] - (ends - np.diff(ends, prepend=0))[j]
-                found.append((trigger, phrase, ids[np.array(owner)[j]], lo + shift, hi + shift, sides))
+                found.append((trigger, phrase, ids[np.array(owner)[j]], lo + shift, hi + shift))
             if found:
                 yield _decide_locally(found)
 
@@ -208,7 +210,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own, fits = np.repeat(trigger[here].view(np.uint64), n), start + LENGTH <= len(text)
                     own, start = own[fits], start[fits]
                     h = Hashes(text[a : a + STEP + 2 * LENGTH]).of(start - a, start - a + LENGTH)
-                    found.append((own, h, np.full(len(start), ident), start, start, np.zeros(len(start), dtype=np.int64)))
+                    found.append((own, h, np.full(len(start), ident), start, start))
                     size += len(start)
             if size >= WINDOWS:
                 yield _decide_locally(found)
@@ -217,50 +219,52 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _decide_locally(found)
 
 
-def _later(rows: DataFrame, *more) -> DataFrame:
-    """Rows with whether they are the earliest of their key; ``more`` are extra columns."""
-    own = Window.partitionBy("known", "trigger", "salt", "key").orderBy("id", "lo")
-    return rows.select("*", (F.rank().over(own) == 1).alias("first"), *more)
-
-
 def repeated_starts(rows: DataFrame) -> DataFrame:
     """(id, lo, hi): starts of windows that also start earlier. rows: (id, text binary)."""
     spark = rows.sparkSession
     n = partitions(spark)
     parsed = rows.mapInArrow(_parse, _ROWS)
+    hash40 = F.shiftright("trigger", 24)
     # frequent triggers, told from a bounded sample, are salted: it moves work, not results
     total = rows.count()
     share = min(1.0, SAMPLE_DOCS / max(1, total))
     sampled = rows.sample(share, seed=7).mapInArrow(_parse, _ROWS).filter("not known")
-    often = [r["trigger"] for r in sampled.groupBy("trigger").count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count")).limit(1000).collect()]
-    salt = F.when(F.col("trigger").isin(often), F.pmod(F.col("key"), F.lit(n))).otherwise(0) if often else F.lit(0)
-    group = Window.partitionBy("known", "trigger", "salt")
+    often = [r["t"] for r in sampled.groupBy(hash40.alias("t")).count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count")).limit(1000).collect()]
+    frequent = hash40.isin(often) if often else F.lit(False)
+    salt = F.when(frequent, F.pmod(F.xxhash64("key"), F.lit(n))).otherwise(0).cast("int")
+    dealt = parsed.repartition(n, "known", hash40, salt).withColumns({"t": hash40, "salt": salt})
+    # in the order of the rank below, so that one sort serves both
+    group = Window.partitionBy("known", "t", "salt").orderBy("key", "id", "lo").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a trigger with one phrase has nothing else to match
-    several = (F.min("key").over(group) != F.max("key").over(group)) | (F.col("trigger").isin(often) if often else F.lit(False))
-    parsed = parsed.withColumn("salt", salt.cast("int")).repartition(n, "known", "trigger", "salt")
-    told = _later(parsed, several.alias("several")).filter("known or not first or several")
-    told = checkpointed(told.withColumn("later", F.col("known") | ~F.col("first")).select("id", "trigger", "key", "lo", "hi", "sides", "later"))
-    # a window can only match another phrase that has the same bytes on one side of the trigger
-    at = F.col("lo") + F.col("sides").bitwiseAND(127)
+    several = (F.min("key").over(group) != F.max("key").over(group)) | frequent
+    own = Window.partitionBy("known", "t", "salt", "key").orderBy("id", "lo")
+    told = dealt.select("*", (F.rank().over(own) == 1).alias("first"), several.alias("several")).filter("known or not first or several")
+    span = F.when(F.col("known"), F.col("key")).otherwise(F.shiftright("key", 8).bitwiseAND(0xFF))
+    told = told.select("id", "trigger", "t", "salt", "key", "lo", (F.col("lo") + span).cast("int").alias("hi"), (F.col("known") | ~F.col("first")).alias("later"))
+    told = checkpointed(told)
 
+    # a window can only match another phrase that has the same bytes on one side of the trigger
     def shared(side):
-        same = Window.partitionBy("trigger", side)
-        return (F.min("key").over(same) != F.max("key").over(same)) | (F.col("trigger").isin(often) if often else F.lit(False))
+        same = Window.partitionBy("t", "salt", side)
+        return (F.min("key").over(same) != F.max("key").over(same)) | frequent
 
     open_spans = (
         told.filter("not later")
-        .withColumn("at", at)
-        .withColumn("left", shared(F.shiftright("sides", 7).bitwiseAND(0xFFF)))
-        .withColumn("right", shared(F.shiftright("sides", 19)))
+        .withColumn("at", F.col("lo") + F.col("key").bitwiseAND(0xFF).cast("int"))
+        .withColumn("left", shared(F.shiftright("trigger", 12).bitwiseAND(0xFFF)))
+        .withColumn("right", shared(F.col("trigger").bitwiseAND(0xFFF)))
         .withColumn("lo", F.when(F.col("left"), F.col("lo")).otherwise(F.greatest("lo", F.col("at") - SIDE + 1)))
         .withColumn("hi", F.when(F.col("right"), F.col("hi")).otherwise(F.least("hi", F.col("at") - SIDE)))
         .filter((F.col("left") | F.col("right")) & (F.col("lo") <= F.col("hi")))
+        .withColumn("trigger", F.shiftleft("t", 24))
         .groupBy("id")
         .agg(F.collect_list(F.struct("trigger", "lo", "hi")).alias("spans"))
     )
     texts = rows.join(open_spans.hint("shuffle_hash"), "id").select("id", "text", "spans")
-    windows = _later(texts.mapInArrow(_windows, _ROWS).withColumn("salt", F.lit(0)))
-    return told.filter("later").select("id", "lo", "hi").unionByName(windows.filter("known or not first").select("id", "lo", "hi"))
+    earliest = F.rank().over(Window.partitionBy("known", "trigger", "key").orderBy("id", "lo")) == 1
+    windows = texts.mapInArrow(_windows, _ROWS).withColumn("first", earliest).filter("known or not first")
+    end = F.col("lo") + F.when(F.col("known"), F.col("key")).otherwise(0)
+    return told.filter("later").select("id", "lo", "hi").unionByName(windows.select("id", "lo", end.cast("int").alias("hi")))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
