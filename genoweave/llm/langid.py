@@ -35,23 +35,25 @@ def fit_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """One dictionary of raw text per language, most frequent language first.
 
     The fit reads a bounded sample: for each of at most ``LANGUAGES`` languages the distinct texts
-    of the lowest hashes, ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each. Rows with a null
+    of the lowest hashes, ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each (of a language with
+    very many copies fewer). Rows with a null
     language or without text are left out.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text <> ''")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    by_hash = Window.partitionBy("lang").orderBy("h")
+    # a hash threshold for each language leaves about 8 * SAMPLE_DOCS rows of it, wherever they lie
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 8.0 * SAMPLE_DOCS / r["n"])]) if counts else F.create_map().cast("map<string,double>")
+    u = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    excerpt = F.substring("text", 1, 2 * EXCERPT).alias("text")  # longer, as letters() shortens it
+    few = rows.withColumn("h", F.xxhash64("text")).filter(u < F.try_element_at(share, F.col("lang"))).select("lang", "h", excerpt)
     low = (
-        rows.select("lang", "text", F.xxhash64("text").alias("h"))
-        .withColumn("r", F.rank().over(by_hash))  # equal texts share a rank; cut before the shuffle
-        .filter(F.col("r") <= SAMPLE_DOCS)
-        .groupBy("lang", "h")
-        .agg(F.min("r").alias("r"), F.min("text").alias("text"))
+        few.groupBy("lang", "h")
+        .agg(F.min("text").alias("text"))
+        .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
         .filter(F.col("r") <= SAMPLE_DOCS)
     )
-    start = F.substring("text", 1, 2 * EXCERPT).alias("text")  # longer, as letters() shortens it
     texts: dict[str, list[tuple[int, str]]] = {}
-    for r in low.select("lang", "h", start).collect():
+    for r in low.select("lang", "h", "text").collect():
         texts.setdefault(r["lang"], []).append((r["h"], r["text"]))
     return {r["lang"]: b" ".join(letters(t)[:EXCERPT] for _, t in sorted(texts[r["lang"]])) for r in counts if r["lang"] in texts}
 
