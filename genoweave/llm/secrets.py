@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import documents
-from genoweave.session import shared_path
+from genoweave.session import checkpointed, shared_path
 
 _ASSIGN = rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -109,6 +109,7 @@ def scan_secrets(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col:
         .groupBy("blob")
         .agg(F.array_sort(F.flatten(F.collect_set(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("o"), s["end"].alias("end"), s["kind"].alias("kind")))))).alias("s"))
     )
+    found = checkpointed(found)  # small; so that a blob of many documents can be split in the join
     blob = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     spans = F.coalesce("s", F.array().cast("array<struct<start:int,o:int,end:int,kind:string>>"))
     join = lambda keep: F.array_join(F.transform(F.filter(spans, keep), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
