@@ -19,9 +19,9 @@ from genoweave.session import checkpointed, partitions
 MAX_TOKENS = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 1_150_000  # words remembered by one Python worker
+MEMO_WORDS = 600_000  # words remembered by one Python worker
 ENCODE_WORDS = 20_000  # words encoded in one call
-ENCODE_TEXTS = 4_000  # texts whose words are looked up together
+ENCODE_TEXTS = 2_000  # texts whose words are looked up together
 
 
 class WordEncoder:
