@@ -39,12 +39,17 @@ def scan_text(data: bytes, kinds: list[str]) -> dict[str, list[tuple[str, int, i
     for kind in kinds:
         _, pattern, group, least, needles = RULES[kind]
         found = out[kind] = []
+        byte = point = 0  # an offset in bytes and the same in code points, moved from match to match
         if needles and not any(n in lower for n in needles):
             continue
         for m in pattern.finditer(data):
             if m.end(group) - m.start(group) >= least:
-                at = (m.start(), m.end()) if plain else tuple(len(data[:x].decode()) for x in m.span())
-                found.append((kind, *at))
+                first, last = m.span()
+                if not plain:
+                    first = point + len(data[byte:first].decode())
+                    byte, last = last, first + len(m.group().decode())
+                    point = last
+                found.append((kind, first, last))
     return out
 
 
