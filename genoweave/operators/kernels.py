@@ -46,27 +46,57 @@ def best_tiling(chains: DataFrame) -> DataFrame:
 MATCH, MISMATCH, FRAMESHIFT, CODON_INSERT, CODON_EXTEND, CODON_DELETE = np.log([0.9, 0.1 / 3, 1e-4, 0.01, 0.2, 0.025])
 
 
-def viterbi(ref: str, query: str) -> tuple[str, str, float]:
-    """Codon-aware global alignment: whole codons are inserted or deleted cheaply, single bases dearly."""
-    n, m = len(ref), len(query)
-    score = np.full((n + 1, m + 1), -np.inf)
-    move = np.zeros((n + 1, m + 1), dtype=np.int8)
+CELLS = 1 << 24  # of the score table of pairs that are aligned together
+
+
+def _align_together(refs: list[str], queries: list[str]) -> list[tuple[str, str, float]]:
+    """Alignments of pairs of one reference length and one query length, cell by cell for all of them."""
+    n, m, size = len(refs[0]), len(queries[0]), len(refs)
+    r, q = (np.array([list(map(ord, x)) for x in side], dtype=np.int32).reshape(size, -1) for side in (refs, queries))
+    score = np.full((n + 1, m + 1, size), -np.inf)
+    move = np.zeros((n + 1, m + 1, size), dtype=np.int8)
     score[0, 0] = 0.0
     steps = ((1, 1, 0), (0, 3, CODON_INSERT), (3, 0, CODON_DELETE), (0, 1, FRAMESHIFT), (1, 0, FRAMESHIFT))
     for i in range(n + 1):
         for j in range(m + 1):
             for k, (di, dj, cost) in enumerate(steps):
                 if i >= di and j >= dj and (i or j) and not (k == 2 and i % 3):
-                    gain = (MATCH if ref[i - 1] == query[j - 1] else MISMATCH) if k == 0 else CODON_EXTEND if k == 1 and move[i, j - dj] == 1 and i + j > 3 else cost
-                    if score[i - di, j - dj] + gain > score[i, j]:
-                        score[i, j], move[i, j] = score[i - di, j - dj] + gain, k
-    a, b, i, j = [], [], n, m
-    while i or j:
-        di, dj, _ = steps[move[i, j]]
-        a.append(ref[i - di : i] or "-" * dj)
-        b.append(query[j - dj : j] or "-" * di)
-        i, j = i - di, j - dj
-    return "".join(a[::-1]), "".join(b[::-1]), float(score[n, m])
+                    gain = cost
+                    if k == 0:
+                        gain = np.where(r[:, i - 1] == q[:, j - 1], MATCH, MISMATCH)
+                    elif k == 1 and i + j > 3:
+                        gain = np.where(move[i, j - dj] == 1, CODON_EXTEND, cost)
+                    found = score[i - di, j - dj] + gain
+                    better = found > score[i, j]
+                    score[i, j][better] = found[better]
+                    move[i, j][better] = k
+    out = []
+    for p in range(size):
+        a, b, i, j = [], [], n, m
+        while i or j:
+            di, dj, _ = steps[move[i, j, p]]
+            a.append(refs[p][i - di : i] or "-" * dj)
+            b.append(queries[p][j - dj : j] or "-" * di)
+            i, j = i - di, j - dj
+        out.append(("".join(a[::-1]), "".join(b[::-1]), float(score[n, m, p])))
+    return out
+
+
+def viterbi(refs: list[str | None], queries: list[str | None]) -> list[tuple[str, str, float]]:
+    """Codon-aware global alignments of pairs: whole codons are inserted or deleted cheaply, single
+    bases dearly. A null sequence counts as empty; pairs of equal lengths are aligned together."""
+    shapes: dict[tuple[int, int], list[int]] = {}
+    pairs = [(r or "", q or "") for r, q in zip(refs, queries, strict=True)]
+    for p, (r, q) in enumerate(pairs):
+        shapes.setdefault((len(r), len(q)), []).append(p)
+    out: list = [None] * len(pairs)
+    for (n, m), members in shapes.items():
+        step = max(1, CELLS // ((n + 1) * (m + 1)))
+        for at in range(0, len(members), step):
+            some = members[at : at + step]
+            for p, found in zip(some, _align_together([pairs[p][0] for p in some], [pairs[p][1] for p in some]), strict=True):
+                out[p] = found
+    return out
 
 
 def codon_align(pairs: DataFrame, key: str) -> DataFrame:
@@ -74,7 +104,7 @@ def codon_align(pairs: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [viterbi(r, q) for r, q in zip(batch["ref"].to_pylist(), batch["query"].to_pylist(), strict=True)]
+            found = viterbi(batch["ref"].to_pylist(), batch["query"].to_pylist())
             cols = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([batch[key], pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())], [key, "ref_aligned", "query_aligned", "score"])
 

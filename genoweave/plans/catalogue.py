@@ -295,10 +295,9 @@ def gap_scan(spark, d):
     return X.table(spark, d, "documents").select("doc_id", S.has_assembly_gap(F.col("text"), 2).alias("gap"))
 
 
-@_register(f"WITH {X.SEQUENCES} SELECT doc_id, CAST(len(list_filter(range(1, length(seq) + 1), lambda i: substr(seq, i, 1) = substr(reverse(seq), i, 1))) AS INTEGER) AS same FROM seqs WHERE length(seq) <= 2000")
+@_register(f"WITH {X.SEQUENCES}, p AS (SELECT doc_id, unnest(string_split(seq, '')) AS a, unnest(string_split(reverse(seq), '')) AS b FROM seqs WHERE seq <> ''), n AS (SELECT doc_id, CAST(count(*) FILTER (a = b) AS INTEGER) AS same FROM p GROUP BY doc_id) SELECT doc_id, coalesce(same, 0) AS same FROM seqs LEFT JOIN n USING (doc_id)")
 def identity(spark, d):
-    s = X.sequences(spark, d).filter("length(seq) <= 2000")
-    return s.select("doc_id", S.matches(F.col("seq"), F.reverse("seq")).alias("same"))
+    return X.sequences(spark, d).select("doc_id", F.coalesce(S.matches(F.col("seq"), F.reverse("seq")), F.lit(0)).alias("same"))
 
 
 _STATES = "translate(seq, 'ACGT', 'ILDM')"
@@ -370,8 +369,10 @@ def chain_tiling(spark, d):
 
 @_register()
 def viterbi_align(spark, d):
-    pairs = X.sequences(spark, d).filter("length(seq) >= 60").selectExpr("doc_id", "substring(seq, 1, 30) AS ref", "concat(substring(seq, 1, 12), substring(seq, 16, 15)) AS query")
-    return K.codon_align(pairs, "doc_id")
+    # every whole sequence, as exons of 30 bases against copies without their fifth codon
+    exons = X.sequences(spark, d).select("doc_id", F.posexplode(S.chunks(F.col("seq"), 30)).alias("i", "ref"))
+    pairs = exons.select(F.concat_ws(":", "doc_id", "i").alias("exon"), "ref", F.expr("concat(substring(ref, 1, 12), substring(ref, 16, 15))").alias("query"))
+    return K.codon_align(pairs, "exon")
 
 
 @_register()

@@ -49,8 +49,8 @@ def test_status_ties_and_order(spark):
 
 
 def test_viterbi():
-    assert K.viterbi("ATGGCC", "ATGGCC")[:2] == ("ATGGCC", "ATGGCC")
-    assert K.viterbi("ATGGCCAAATTT", "ATGAAATTT")[:2] == ("ATGGCCAAATTT", "ATG---AAATTT")
+    got = K.viterbi(["ATGGCC", "ATGGCCAAATTT", None, "ATG", "GCCATG"], ["ATGGCC", "ATGAAATTT", "A", None, "GCCATC"])
+    assert [g[:2] for g in got] == [("ATGGCC", "ATGGCC"), ("ATGGCCAAATTT", "ATG---AAATTT"), ("-", "A"), ("ATG", "---"), ("GCCATG", "GCCATC")]
 
 
 def test_tiling_takes_the_best_path(spark):
