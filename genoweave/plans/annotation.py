@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from genoweave.operators import annotation as A
 from genoweave.operators import chains as C
 from genoweave.operators import intervals as I
+from genoweave.operators import loci as L
 from genoweave.operators import projections as P
 from genoweave.plans import catalogue
 from genoweave.plans import fixtures as X
@@ -49,6 +50,10 @@ CAST(sum(size + dq) OVER (PARTITION BY chain) - last_value(dq) OVER (PARTITION B
 SELECT chain, 'chr' || CAST(chain % 5 AS VARCHAR) AS chrom, i AS blk, t_from + t - size AS b_start, t_from + t AS b_end, 'q' || CAST(chain % 3 AS VARCHAR) AS q_name,
 CASE WHEN minus THEN q_from0 + q_all - q ELSE q_from0 + q - size END AS q_from, CASE WHEN minus THEN q_from0 + q_all - q + size ELSE q_from0 + q END AS q_to FROM c""")
 def chain_round_trip(spark, d):
+    return N.aligned_blocks(_read_back(spark, d))
+
+
+def _read_back(spark, d):
     s = X.table(spark, d, "events").selectExpr(*[f"{e} AS {c}" for c, e in _CHAIN_STEPS.items()])
     rows = s.groupBy("chain", "t_from", "q_from0", "minus").agg(F.array_sort(F.collect_list(F.struct("blk", "size", "dt", "dq"))).alias("l"))
     last = F.element_at("l", -1)
@@ -61,7 +66,14 @@ def chain_round_trip(spark, d):
     )
     path = shared_path(spark, "chains")
     N.write_lines(N.chain_lines(head), path)
-    return N.aligned_blocks(N.read_chains(spark, path))
+    return N.read_chains(spark, path)
+
+
+@_register(f"""WITH {_STEPS}, c AS (SELECT *, CAST(sum(size + dt) OVER w - dt AS BIGINT) AS t, CAST(sum(size + dq) OVER w - dq AS BIGINT) AS q,
+CAST(sum(size + dq) OVER (PARTITION BY chain) - last_value(dq) OVER (PARTITION BY chain ORDER BY blk ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS BIGINT) AS q_all FROM steps WINDOW w AS (PARTITION BY chain ORDER BY blk))
+SELECT chain, CASE WHEN minus THEN q_from0 + q_all - q ELSE q_from0 + q - size END AS b_start, CASE WHEN minus THEN q_from0 + q_all - q + size ELSE q_from0 + q END AS b_end, t_from + t - size AS q_from, t_from + t AS q_to FROM c""")
+def chain_swap(spark, d):
+    return N.aligned_blocks(N.swap_chains(_read_back(spark, d))).select("chain", "b_start", "b_end", "q_from", "q_to")
 
 
 @_register(f"WITH {X.SEQUENCES} SELECT doc_id, coalesce(seq, '') AS seq FROM seqs")
@@ -198,3 +210,29 @@ def projection_ids(spark, d):
     tx, chains, retro = A.split_projection(F.col("name"))
     rows = X.table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{name} AS name")
     return rows.select("l_orderkey", "l_linenumber", tx.alias("tx"), F.size(chains).alias("n_chains"), retro.alias("retro"))
+
+
+_LOCI = {"proj": "c_custkey", "tx": "c_custkey % 400", "chrom": "c_nationkey % 5", "strand": "c_custkey % 2", "e_start": "(c_custkey * 7919) % 1000000", "e_end": "(c_custkey * 7919) % 1000000 + 300"}
+_REFS = {"tx": "c_custkey % 400", "chrom": "c_custkey % 3", "e_start": "(c_custkey % 400) * 997 % 90000", "e_end": "(c_custkey % 400) * 997 % 90000 + 400"}
+
+
+@_register(f"""WITH RECURSIVE p AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _LOCI.items())} FROM customer), t AS (SELECT DISTINCT {', '.join(f'{e} AS {c}' for c, e in _REFS.items())} FROM customer),
+apart AS (SELECT DISTINCT a.tx AS l, b.tx AS h FROM t a JOIN t b ON a.chrom = b.chrom AND a.tx < b.tx AND a.e_start < b.e_end AND b.e_start < a.e_end),
+links AS (SELECT a.proj AS a, b.proj AS b FROM p a JOIN p b ON a.chrom = b.chrom AND a.strand = b.strand AND a.proj <> b.proj AND a.e_start < b.e_end AND b.e_start < a.e_end WHERE (least(a.tx, b.tx), greatest(a.tx, b.tx)) NOT IN (SELECT (l, h) FROM apart)),
+w(a, b) AS (SELECT proj, proj FROM p UNION SELECT w.a, links.b FROM w JOIN links ON w.b = links.a), r AS (SELECT a AS proj, min(b) AS root FROM w GROUP BY a),
+g AS (SELECT chrom, root, min(e_start) AS g_start, max(e_end) AS g_end, count(*) AS n FROM p JOIN r USING (proj) GROUP BY chrom, root)
+SELECT chrom, CAST(row_number() OVER (PARTITION BY chrom ORDER BY g_start, g_end, root) AS INTEGER) AS locus, g_start, g_end, n FROM g""")
+def query_gene_loci(spark, d):
+    customers = X.table(spark, d, "customer")
+    refs = customers.selectExpr(*[f"{e} AS {c}" for c, e in _REFS.items()]).distinct()
+    return L.query_gene_loci(customers.selectExpr(*[f"{e} AS {c}" for c, e in _LOCI.items()]), L.overlapping_pairs(refs, "tx", ["chrom"]))
+
+
+@_register(f"""WITH {X.FEATURE_CTE}, {X.ISOFORMS}, f AS (SELECT gene, tx, chain, max(exon_cover) AS exon_cover, max(ex_fract) AS ex_fract, max(pred) AS pred FROM features JOIN isoforms USING (tx) WHERE gene % 3 <> 0 GROUP BY gene, tx, chain),
+p AS (SELECT gene, tx FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY ex_fract DESC, tx, chain) AS i FROM f) z WHERE i = 1),
+b AS (SELECT f.*, row_number() OVER (PARTITION BY gene ORDER BY pred DESC, chain) AS i, count(*) OVER (PARTITION BY gene) AS chains FROM f JOIN p USING (gene, tx))
+SELECT gene, tx, chain, CAST(i = 1 AS INTEGER) AS y FROM b WHERE i > 1 OR (exon_cover > 10 AND chains <= 10)""")
+def training_rows(spark, d):
+    features = X.features(spark, d).groupBy("tx", "chain").agg(*[F.max(c).alias(c) for c in ("exon_cover", "ex_fract", "pred")])
+    genes = X.isoforms(spark, d)
+    return L.training_rows(features, genes, genes.filter("gene % 3 <> 0"))

@@ -75,6 +75,17 @@ def aligned_blocks(chains: DataFrame) -> DataFrame:
     )
 
 
+def swap_chains(chains: DataFrame) -> DataFrame:
+    """The same chains seen from the query: sides swapped, and the order of steps turned on a minus
+    strand, so that the new reference strand is the forward one again."""
+    n = F.size("steps")
+    gaps = F.when(n > 1, F.reverse(F.slice("steps", F.lit(1), n - 1))).otherwise(F.slice("steps", 1, 0))
+    turned = F.zip_with(F.reverse("steps"), gaps, lambda s, g: F.struct(s["size"].alias("size"), F.coalesce(g["dq"], F.lit(0)).alias("dt"), F.coalesce(g["dt"], F.lit(0)).alias("dq")))
+    same = F.transform("steps", lambda s: F.struct(s["size"].alias("size"), s["dq"].alias("dt"), s["dt"].alias("dq")))
+    swapped = {f"{a}_{c}": F.col(f"{b}_{c}") for a, b in ("tq", "qt") for c in ("name", "size", "start", "end")}
+    return chains.withColumns(swapped | {"steps": F.when(F.col("q_strand") == "-", turned).otherwise(same)})
+
+
 def chain_lines(chains: DataFrame) -> DataFrame:
     """chains as from :func:`read_chains` -> (value): a chain's lines and the empty line after it."""
     back = {}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from genoweave.operators import annotation as A
+from genoweave.operators import loci as L
 from genoweave.sources import genomic as N
 
 
@@ -36,6 +37,13 @@ def test_chains_on_both_strands(spark, put):
     assert rows(N.chain_lines(chains.filter("chain = 7"))) == [("chain 9 c1 1000 + 10 30 q 500 - 100 125 7\n5\t5\t10\n10\n",)]
 
 
+def test_swapped_chains(spark, put):
+    chains = N.read_chains(spark, put("chain 9 c1 1000 + 10 30 q 500 - 100 125 7\n5 5 10\n10\n\nchain 8 c1 9 + 0 4 q 8 + 3 7 8\n4\n"))
+    got = {(r["chain"], r["chrom"], r["b_start"], r["b_end"], r["q_from"], r["q_to"]) for r in N.aligned_blocks(N.swap_chains(chains)).collect()}
+    assert got == {(7, "q", 375, 385, 20, 30), (7, "q", 395, 400, 10, 15), (8, "q", 3, 7, 0, 4)}
+    assert sorted(rows(N.chain_lines(N.swap_chains(N.swap_chains(chains))))) == sorted(rows(N.chain_lines(chains)))
+
+
 def test_fasta_tiles_and_fetch(spark, put):
     contigs = N.read_fasta(spark, put(">a one\nACG\nTTT\n>b\n>c\nGG"))
     assert rows(contigs) == [("a one", "ACGTTT"), ("b", ""), ("c", "GG")]
@@ -79,3 +87,12 @@ def test_projection_names(spark):
     tx, chains, retro = A.split_projection(F.col("p"))
     got = rows(spark.createDataFrame([("a#b#1,2#retro",), ("x#9",)], "p string").select(tx, chains, retro))
     assert got == [("a#b", ["1", "2"], True), ("x", ["9"], False)]
+
+
+def test_query_gene_loci(spark):
+    exons = [(1, 11, "c", "+", 0, 10), (2, 12, "c", "+", 5, 20), (3, 13, "c", "+", 15, 30), (4, 14, "c", "-", 0, 10), (5, 15, "d", "+", 0, 9)]
+    df = spark.createDataFrame(exons, "proj long, tx long, chrom string, strand string, e_start long, e_end long")
+    apart = spark.createDataFrame([(12, 13)], "a long, b long")
+    got = sorted(rows(L.query_gene_loci(df, apart)))
+    assert got == [("c", 1, 0, 10, 1), ("c", 2, 0, 20, 2), ("c", 3, 15, 30, 1), ("d", 1, 0, 9, 1)]
+    assert L.query_gene_loci(df.limit(0), apart).count() == 0
