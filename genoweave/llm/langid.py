@@ -110,6 +110,17 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     return found.withColumnRenamed("id", id_col)
 
 
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose own text is not rejected, all columns kept; no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = Classifier(dictionaries)
+        for batch in batches:
+            yield batch.filter(pa.array([not classify(t.as_py())[3] for t in batch[text_col]], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

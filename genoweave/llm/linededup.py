@@ -102,18 +102,19 @@ def repeated_lines(
     return keys.join(gone, ["h1", "h2"]).filter(~F.col("id").eqNullSafe(F.col("keep"))).select("id", "h1", "h2")
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None, **limits) -> DataFrame:
     """(id, kept text, n_lines, n_dropped): each text without its repeated lines.
 
     A line's key is the line stripped of ASCII white space, A-Z lower-cased. Keys of at least
     ``min_chars`` code points in at least ``min_docs`` documents lose all their lines except in the
     largest id that holds them. Null and empty texts are one empty line. Rows that share an id are
     one document for the counts and lose the same lines; a null id is the smallest. Repeated lines
-    in one document count once. An empty table gives an empty result; other columns are ignored.
+    in one document count once. An empty table gives an empty result; other columns are ignored, but for
+    ``carry``, which comes out as ``carried``, row by row.
     """
     min_chars = limits.get("min_chars", MIN_CHARS)
     lost = repeated_lines(docs, id_col, text_col, **limits).groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
-    rows = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    rows = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), *([] if carry is None else [carry.alias("carried")]))
     joined = rows.join(lost.hint("shuffle_hash"), F.col("own").eqNullSafe(F.col("id")), "left").drop("id")
 
     def stays(line: Column) -> Column:
@@ -130,6 +131,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.when(F.col("kept").isNull(), F.col("body")).otherwise(F.array_join("kept", "\n")).alias("kept_text"),
         "n_lines",
         F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("bigint").alias("n_dropped"),
+        *([] if carry is None else ["carried"]),
     )
 
 
