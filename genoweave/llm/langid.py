@@ -35,27 +35,36 @@ def fit_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """One dictionary of raw text per language, most frequent language first.
 
     The fit reads a bounded sample: for each of at most ``LANGUAGES`` languages the distinct texts
-    of the lowest hashes, ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each (of a language with
-    very many copies fewer). Rows with a null
-    language or without text are left out.
+    of the lowest hashes, ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each. Copies of a text count
+    once, however many there are. Rows with a null language or without text are left out.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text <> ''")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    # a hash threshold for each language leaves about 8 * SAMPLE_DOCS rows of it, wherever they lie
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 8.0 * SAMPLE_DOCS / r["n"])]) if counts else F.create_map().cast("map<string,double>")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    each = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))
+    counts = each.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("d")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     u = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
     excerpt = F.substring("text", 1, 2 * EXCERPT).alias("text")  # longer, as letters() shortens it
-    few = rows.withColumn("h", F.xxhash64("text")).filter(u < F.try_element_at(share, F.col("lang"))).select("lang", "h", excerpt)
-    low = (
-        few.groupBy("lang", "h")
-        .agg(F.min("text").alias("text"))
-        .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-        .filter(F.col("r") <= SAMPLE_DOCS)
-    )
-    texts: dict[str, list[tuple[int, str]]] = {}
-    for r in low.select("lang", "h", "text").collect():
-        texts.setdefault(r["lang"], []).append((r["h"], r["text"]))
-    return {r["lang"]: b" ".join(letters(t)[:EXCERPT] for _, t in sorted(texts[r["lang"]])) for r in counts if r["lang"] in texts}
+
+    def lowest(shares: dict[str, float]) -> dict[str, list[tuple[int, str]]]:
+        """The texts of lowest hash among those whose hash is under the language's share."""
+        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+        few = rows.filter(u < F.try_element_at(share, F.col("lang"))).select("lang", "h", excerpt)
+        low = (
+            few.groupBy("lang", "h")
+            .agg(F.min("text").alias("text"))
+            .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(u)))
+            .filter(F.col("r") <= SAMPLE_DOCS)
+        )
+        texts: dict[str, list[tuple[int, str]]] = {k: [] for k in shares}
+        for r in low.select("lang", "h", "text").collect():
+            texts[r["lang"]].append((r["h"], r["text"]))
+        return texts
+
+    # a hash threshold for each language leaves about 8 * SAMPLE_DOCS distinct texts of it, wherever they lie
+    texts = lowest({r["lang"]: 8.0 * SAMPLE_DOCS / r["d"] for r in counts}) if counts else {}
+    scarce = {r["lang"]: 1.0 for r in counts if len(texts[r["lang"]]) < min(SAMPLE_DOCS, r["d"])}
+    texts |= lowest(scarce) if scarce else {}
+    return {r["lang"]: b" ".join(letters(t)[:EXCERPT] for _, t in sorted(texts[r["lang"]])) for r in counts}
 
 
 class Classifier:
