@@ -51,9 +51,9 @@ def class_lists(classes: DataFrame) -> DataFrame:
     return classes.groupBy("tx").agg(*[F.when(x == "", "0").otherwise(x).alias(k.lower()) for k, x in zip(kinds, lists, strict=True)])
 
 
-def admit(classes: DataFrame, most: int = 2) -> DataFrame:
+def admit(classes: DataFrame, most: int = 100) -> DataFrame:
     """The chains that a transcript is projected through: its orthologs, else spanning, else paralogs;
-    the lowest chain ids first, ``most`` at most; processed pseudogenes come in addition."""
+    the lowest chain ids first, ``most`` at most (100 as in the reference); processed pseudogenes come in addition."""
     tier = F.when(F.col("class") == "ORTH", 1).when(F.col("class") == "SPAN", 2).when(F.col("class") == "PARA", 3)
     rows = classes.withColumn("tier", tier)
     best = rows.filter("tier is not null").withColumn("best", F.min("tier").over(Window.partitionBy("tx"))).filter("tier = best")
