@@ -1,4 +1,4 @@
-"""Exact substring dedup over a parse of the corpus into trigger phrases."""
+"""Exact substring dedup: a parse of the corpus into trigger phrases, and sorted suffixes of their dictionary."""
 
 from __future__ import annotations
 
@@ -8,19 +8,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import documents
-from genoweave.session import checkpointed, partitions
+from genoweave.session import checkpointed, partitions, written
 
 LENGTH = 100  # bytes of a string whose later occurrences are removed
 TRIGGER = 32  # bytes of a trigger
 STEP = 1 << 20  # window starts that are hashed at once
 SAMPLE_DOCS = 2000  # about so many documents tell which triggers are frequent
 FREQUENT = 20  # times in that sample
+SALTED = 10_000  # triggers that are dealt over many tasks, the most frequent
 SIDE = LENGTH - TRIGGER - LENGTH // 3 - 1  # bytes next to a trigger: a window has so many on its left or right
-TEXTS, WINDOWS = 2500, 300_000  # texts, or windows, that are decided together in a task
+TEXTS, WINDOWS = 2500, 300_000  # texts, or suffixes, that are decided together in a task
 NULL_ID = -(1 << 63)  # stands for a null id, which sorts first
 
 _TOP40 = ~np.uint64(0xFFFFFF)
@@ -123,19 +125,28 @@ def _parts(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, np
         yield owner, skip, b"".join(pieces), np.cumsum([len(p) for p in pieces])
 
 
-def _firsts(keys: tuple[np.ndarray, ...], ident: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """True for rows that are the earliest (id, start) of their key among these rows."""
+def _ordered(keys: tuple[np.ndarray, ...], ident: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, later): the earliest (id, start) of every key here, and the rows after it.
+
+    Of repeated rows, those with the id and start of the earliest, one is first and the others neither.
+    """
     order = np.lexsort((lo, ident, *keys))
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
     for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
+    return _first_and_later(order, new, ident, lo)
+
+
+def _first_and_later(order: np.ndarray, new: np.ndarray, ident: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_ordered``, of rows in ``order`` where ``new`` marks the head of each run of equals."""
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     si, sl = ident[order], lo[order]
-    out = np.empty(len(order), dtype=bool)
-    out[order] = (si == si[head]) & (sl == sl[head])
-    return out
+    first, later = np.empty(len(order), dtype=bool), np.empty(len(order), dtype=bool)
+    first[order] = new
+    later[order] = (si != si[head]) | (sl != sl[head])
+    return first, later
 
 
 def _merged(ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -151,26 +162,31 @@ def _merged(ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarr
 _ROWS = "known boolean, trigger bigint, key bigint, id bigint, lo int"
 
 
-def _decide_locally(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Of equal keys here only the earliest is sent on; the others repeat for certain.
+def _rows(open_rows: tuple[np.ndarray, ...], ident: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    """Rows that are still open, (trigger, key, id, lo), then the ranges of starts known to repeat.
 
-    found: (trigger, key, id, lo, hi). The rows known to repeat follow as merged ranges whose key is
-    hi - lo, under triggers that spread them evenly.
+    Ranges that touch are joined; their key is hi - lo, and their triggers spread them evenly.
     """
-    trigger, key, ident, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
-    first = _firsts((key, trigger & _TOP40), ident, lo)
-    sid, slo, shi = _merged(ident[~first], lo[~first], hi[~first])
+    trigger, key, oid, olo = open_rows
+    sid, slo, shi = _merged(ident, lo, hi)
     spread = _mix(sid.view(np.uint64) + np.arange(len(sid), dtype=np.uint64)).view(np.int64)
-    known = np.concatenate((np.zeros(int(first.sum()), dtype=bool), np.ones(len(sid), dtype=bool)))
+    known = np.concatenate((np.zeros(len(oid), dtype=bool), np.ones(len(sid), dtype=bool)))
     cols = (
-        (trigger[first].view(np.int64), spread),
-        (key[first].view(np.int64), shi - slo),
-        (ident[first], sid),
-        (lo[first].astype(np.int32), slo.astype(np.int32)),
+        (trigger.view(np.int64), spread),
+        (key.view(np.int64), shi - slo),
+        (oid, sid),
+        (olo.astype(np.int32), slo.astype(np.int32)),
     )
     return pa.RecordBatch.from_arrays([pa.array(known), *(pa.array(np.concatenate(c)) for c in cols)], [c.split()[0] for c in _ROWS.split(", ")])
 
 
+def _decide_locally(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Of equal phrases here, (trigger, key, id, lo, hi), only the earliest is sent on; the others repeat for certain."""
+    trigger, key, ident, lo, hi = (np.concatenate(x) for x in zip(*found, strict=True))
+    first, later = _ordered((key, trigger & _TOP40), ident, lo)
+    return _rows((trigger[first], key[first], ident[first], lo[first]), ident[later], lo[later], hi[later])
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for first in range(0, whole.num_rows, TEXTS):
@@ -195,28 +211,88 @@ def _lists(column: pa.Array, *fields: str) -> Iterator[tuple[np.ndarray, ...]]:
         at += n
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the given phrases of each text, by its own hash."""
+_OPEN = "t bigint, salt int, id bigint, lo int, bytes binary"
+
+
+def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of every phrase that is still open: the part of the dictionary that must be sorted."""
     for batch in batches:
-        found, size = [], 0
-        spans = _lists(batch["spans"], "lo", "hi", "trigger")
-        for text, ident, (lo, hi, trigger) in zip(batch["text"], batch["id"].to_pylist(), spans, strict=True):
-            text, lo, hi = text.as_py(), lo.astype(np.int64), hi.astype(np.int64)
-            for a in range(0, len(text), STEP):
-                here = (lo >= a) & (lo < a + STEP)
-                if here.any():
-                    n = hi[here] - lo[here] + 1
-                    start = np.arange(n.sum()) + np.repeat(lo[here] - (np.cumsum(n) - n), n)
-                    own, fits = np.repeat(trigger[here].view(np.uint64), n), start + LENGTH <= len(text)
-                    own, start = own[fits], start[fits]
-                    h = Hashes(text[a : a + STEP + 2 * LENGTH]).of(start - a, start - a + LENGTH)
-                    found.append((own, h, np.full(len(start), ident), start, start))
-                    size += len(start)
-            if size >= WINDOWS:
-                yield _decide_locally(found)
-                found, size = [], 0
-        if found:
-            yield _decide_locally(found)
+        _, once = np.unique(batch["id"].to_numpy(), return_index=True)  # repeated rows have the same phrases
+        batch = batch.take(pa.array(np.sort(once)))
+        cut: list[bytes] = []
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        for text, ident, (lo, hi, t, salt) in zip(batch["text"], batch["id"].to_pylist(), _lists(batch["spans"], "lo", "hi", "t", "salt"), strict=True):
+            data = text.as_py()
+            cut += [data[a:b] for a, b in zip(lo.tolist(), (hi + LENGTH).tolist(), strict=True)]
+            for column, x in zip(found, (t, salt, np.full(len(lo), ident), lo), strict=True):
+                column.append(x)
+        if cut:
+            cols = [*(pa.array(np.concatenate(c)) for c in found), pa.array(cut, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _OPEN.split(", ")])
+
+
+def _suffixes(t: np.ndarray, ident: np.ndarray, lo: np.ndarray, phrases: pa.Array, whole: np.ndarray) -> pa.RecordBatch:
+    """Sort the suffixes of some phrases by their first LENGTH bytes, then by the place in the corpus.
+
+    In a run of equal suffixes all but the earliest repeat. Where the phrases of a trigger are not
+    ``whole`` here, the earliest stays open.
+    """
+    size = pc.binary_length(phrases).to_numpy().astype(np.int64)
+    data = np.frombuffer(b"".join(phrases.to_pylist()), dtype=np.uint8)
+    n = size - LENGTH + 1
+    own = np.repeat(np.arange(len(n)), n)
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    suffix = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[np.repeat(np.cumsum(size) - size, n) + within]
+    suffix = np.ascontiguousarray(suffix).view(f"S{LENGTH}").ravel()
+    start, who = lo[own].astype(np.int64) + within, ident[own]
+    place = np.lexsort((start, who))
+    order = place[np.argsort(suffix[place], kind="stable")]
+    ranked = suffix[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first, later = _first_and_later(order, new, who, start)
+    still = np.flatnonzero(first & ~whole[own])
+    key = np.array([xxhash.xxh3_64_intdigest(x) for x in suffix[still].view(np.uint8).reshape(-1, LENGTH)], dtype=np.uint64)
+    return _rows((t[own[still]], key, who[still], start[still]), who[later], start[later], start[later])
+
+
+def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases sorted by (t, salt): whole triggers are decided here, in pieces of about WINDOWS suffixes.
+
+    The phrases of a trigger that fill a piece alone, and those of a salted trigger, are spread over
+    several pieces: their earliest suffixes stay open.
+    """
+    held: list[pa.RecordBatch] = []
+    size, split = 0, None  # split: a trigger whose phrases have been cut
+
+    def flush(table: pa.Table, part: int | None) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        t = table["t"].to_numpy()
+        whole = table["salt"].to_numpy() < 0
+        if part is not None:
+            whole &= t != part
+        return _suffixes(t, table["id"].to_numpy(), table["lo"].to_numpy(), table["bytes"].combine_chunks(), whole)
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            piece = batch.slice(at, 1024)
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece["bytes"])).as_py() - (LENGTH - 1) * piece.num_rows
+            if size < WINDOWS:
+                continue
+            table = pa.Table.from_batches(held)
+            t = table["t"].to_numpy()
+            ready = int(np.searchsorted(t, t[-1]))  # the last trigger may go on
+            if ready:
+                yield flush(table.slice(0, ready), split)
+                held = table.slice(ready).to_batches()
+            else:
+                split = int(t[-1])
+                yield flush(table, split)
+                held = []
+            size = sum(pc.sum(pc.binary_length(x["bytes"])).as_py() - (LENGTH - 1) * x.num_rows for x in held)
+    if held:
+        yield flush(pa.Table.from_batches(held), split)
 
 
 def repeated_starts(rows: DataFrame) -> DataFrame:
@@ -229,42 +305,74 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     total = rows.count()
     share = min(1.0, SAMPLE_DOCS / max(1, total))
     sampled = rows.sample(share, seed=7).mapInArrow(_parse, _ROWS).filter("not known")
-    often = [r["t"] for r in sampled.groupBy(hash40.alias("t")).count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count")).limit(1000).collect()]
+    often = [r["t"] for r in sampled.groupBy(hash40.alias("t")).count().filter(F.col("count") >= FREQUENT).orderBy(F.desc("count")).limit(SALTED).collect()]
     frequent = hash40.isin(often) if often else F.lit(False)
-    salt = F.when(frequent, F.pmod(F.xxhash64("key"), F.lit(n))).otherwise(0).cast("int")
+    salt = F.when(frequent, F.pmod(F.xxhash64("key"), F.lit(n))).otherwise(-1).cast("int")
     dealt = parsed.repartition(n, "known", hash40, salt).withColumns({"t": hash40, "salt": salt})
     # in the order of the rank below, so that one sort serves both
     group = Window.partitionBy("known", "t", "salt").orderBy("key", "id", "lo").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a trigger with one phrase has nothing else to match
     several = (F.min("key").over(group) != F.max("key").over(group)) | frequent
     own = Window.partitionBy("known", "t", "salt", "key").orderBy("id", "lo")
-    told = dealt.select("*", (F.rank().over(own) == 1).alias("first"), several.alias("several")).filter("known or not first or several")
+    # place 1 is the first; rows of rank 1 after it repeat its id and start, and say nothing new
+    told = dealt.select("*", F.row_number().over(own).alias("place"), F.rank().over(own).alias("rank"), several.alias("several"))
+    told = told.filter("known or rank > 1 or (place = 1 and several)")
     span = F.when(F.col("known"), F.col("key")).otherwise(F.shiftright("key", 8).bitwiseAND(0xFF))
-    told = told.select("id", "trigger", "t", "salt", "key", "lo", (F.col("lo") + span).cast("int").alias("hi"), (F.col("known") | ~F.col("first")).alias("later"))
-    told = checkpointed(told)
+    told = told.select(
+        "id", "lo", (F.col("lo") + span).cast("int").alias("hi"), (F.col("known") | (F.col("rank") > 1)).alias("later"), "trigger", "salt", "key"
+    )
+    told = written(told, "phrases")
 
     # a window can only match another phrase that has the same bytes on one side of the trigger
     def shared(side):
         same = Window.partitionBy("t", "salt", side)
-        return (F.min("key").over(same) != F.max("key").over(same)) | frequent
+        return (F.min("key").over(same) != F.max("key").over(same)) | (F.col("salt") >= 0)
 
     open_spans = (
         told.filter("not later")
+        .withColumn("t", hash40)
         .withColumn("at", F.col("lo") + F.col("key").bitwiseAND(0xFF).cast("int"))
         .withColumn("left", shared(F.shiftright("trigger", 12).bitwiseAND(0xFFF)))
         .withColumn("right", shared(F.col("trigger").bitwiseAND(0xFFF)))
         .withColumn("lo", F.when(F.col("left"), F.col("lo")).otherwise(F.greatest("lo", F.col("at") - SIDE + 1)))
         .withColumn("hi", F.when(F.col("right"), F.col("hi")).otherwise(F.least("hi", F.col("at") - SIDE)))
         .filter((F.col("left") | F.col("right")) & (F.col("lo") <= F.col("hi")))
-        .withColumn("trigger", F.shiftleft("t", 24))
         .groupBy("id")
-        .agg(F.collect_list(F.struct("trigger", "lo", "hi")).alias("spans"))
+        .agg(F.collect_list(F.struct("t", "salt", "lo", "hi")).alias("spans"))
     )
     texts = rows.join(open_spans.hint("shuffle_hash"), "id").select("id", "text", "spans")
-    earliest = F.rank().over(Window.partitionBy("known", "trigger", "key").orderBy("id", "lo")) == 1
-    windows = texts.mapInArrow(_windows, _ROWS).withColumn("first", earliest).filter("known or not first")
-    end = F.col("lo") + F.when(F.col("known"), F.col("key")).otherwise(0)
-    return told.filter("later").select("id", "lo", "hi").unionByName(windows.select("id", "lo", end.cast("int").alias("hi")))
+    dictionary = texts.mapInArrow(_dictionary, _OPEN).repartition(n, "t", "salt").sortWithinPartitions("t", "salt")
+    found = written(dictionary.mapInArrow(_sort, _ROWS), "suffixes")
+    # what salted or very large triggers leave open meets by its hash
+    earliest = Window.partitionBy("trigger", "key").orderBy("id", "lo")
+    rest = found.filter("not known").withColumn("rank", F.rank().over(earliest)).filter("rank > 1")
+    return (
+        told.filter("later").select("id", "lo", "hi")
+        .unionByName(found.filter("known").select("id", "lo", (F.col("lo") + F.col("key")).cast("int").alias("hi")))
+        .unionByName(rest.select("id", "lo", F.col("lo").alias("hi")))
+    )
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, own, text): own is the row's id; id orders the distinct pairs of id and text.
+
+    Where every id has one text, as it should, the number is the id itself (a null id is the
+    smallest). Else pairs are numbered in the order of the id, then of two hashes of the text.
+    """
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("own"), text.alias("text"))
+    usual = F.coalesce("own", F.lit(NULL_ID))
+    h1, h2 = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
+    pair = F.struct(F.col("own").isNull().alias("none"), h1.alias("h1"), h2.alias("h2"))
+    several = rows.groupBy(usual.alias("id")).agg(F.min(pair).alias("a"), F.max(pair).alias("b")).filter("a <> b")
+    if several.isEmpty():
+        return rows.select(usual.alias("id"), "own", "text")
+    order = [F.asc_nulls_first("own"), "h1", "h2"]
+    keys = rows.select("own", h1.alias("h1"), h2.alias("h2")).distinct()
+    keys = keys.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    keys = checkpointed(keys.select(F.monotonically_increasing_id().alias("id"), F.col("own").alias("o"), "h1", "h2"))
+    same = F.col("own").eqNullSafe(F.col("o")) & (h1 == F.col("h1")) & (h2 == F.col("h2"))
+    return rows.join(keys, same).select("id", "own", "text")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,19 +409,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     given as kept_sha256 only.
 
     The corpus is parsed into phrases at content-defined triggers. A phrase that isn't the first of
-    its kind repeats as a whole; only triggers with several different phrases are resolved window by
-    window. What a task can settle alone it settles before the shuffle, so frequent passages arrive
-    as one row a batch. Null and empty texts are empty; texts shorter than LENGTH stay whole. A null
-    id is the smallest. Rows that share an id never count as earlier than each other at the same
-    start, and lose the same ranges. Other columns are ignored; no rows give no rows.
+    its kind repeats as a whole. Where a trigger has several different phrases, they are gathered as
+    a dictionary and their suffixes sorted; equal ones stand together in corpus order. What a task
+    can settle alone it settles before the shuffle, so frequent passages arrive as one row a batch.
+
+    Null and empty texts are empty; texts shorter than LENGTH stay whole. A null id is the smallest.
+    Rows that share an id but not the text are documents of their own, ordered by a hash of the
+    text; repeated rows count as one document and lose the same bytes. Other columns are ignored; no
+    rows give no rows.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    spans = repeated_starts(rows).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    joined = rows.join(spans.hint("shuffle_hash"), "id", "left").select("id", "text", "spans")
+    rows = numbered(docs, id_col, text_col)
+    spans = repeated_starts(rows.select("id", "text")).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    joined = rows.join(spans.hint("shuffle_hash"), "id", "left").select(F.col("own").alias("id"), "text", "spans")
     tail = "kept_sha256 string" if digest else None
     schema = f"id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {tail}" if digest else "id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
-    out = joined.mapInArrow(_digest if digest else _cut, schema)
-    return out.withColumn("id", F.nullif("id", F.lit(NULL_ID))).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(_digest if digest else _cut, schema).withColumnRenamed("id", id_col)
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
