@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import documents
+from genoweave.llm.common import documents, hash128
+from genoweave.session import checkpointed
 
 WORDS = 5  # words in a shingle
 THRESHOLD = 0.8  # share of an item's distinct shingles that a document must hold
-BROADCAST_ROWS = 400_000  # signature rows (16 bytes each) up to which they are broadcast
+BROADCAST_ROWS = 400_000  # signature rows (24 bytes each) up to which they are broadcast
+CHUNK = 256  # candidates of a document that are verified together
 
 
 def words_of(text: Column) -> Column:
@@ -61,18 +63,26 @@ def contaminated(
     are verified by an exact intersection of shingle texts. Signatures are broadcast only if they
     are few, else hashes are shuffled to them. Texts of fewer than five words are one shingle of
     all their words, so short items match only a text of just these words; null, empty and wordless
-    texts have none and never match. Rows that share an id give one row per item, with the largest
-    share. Null ids are kept; other columns are ignored; empty tables give an empty result.
+    texts have none and never match. Documents that share an id give one row per item and n_item, with
+    the largest share; items that share an id, or have none, are each searched by their own text.
+    Null ids are kept on both sides; other columns are ignored; empty tables give an empty result.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col)).alias("words"))
+    # an item is its words: rows of one id, or of none, stay apart, and equal items are looked for once
+    named = benchmark.select(F.col(item_col).alias("name"), words_of(F.col(item_text_col)).alias("words"))
+    h1, h2 = hash128(F.array_join("words", " "))
+    named = named.withColumn("item", F.struct(h1.alias("h1"), h2.alias("h2")))
+    items = named.dropDuplicates(["item"]).select("item", "words")
     index = signatures(items, threshold)
     few = index.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
     hashed = rows.select("id", "words", F.explode(_places("words")).alias("i")).select("id", _hash_at("words", "i").alias("h"))
-    candidates = hashed.join(F.broadcast(index) if few else index, "h").select("id", "item").distinct()
+    candidates = checkpointed(hashed.join(F.broadcast(index) if few else index, "h").select("id", "item").distinct())
 
+    # a document with many candidates takes them in chunks of about CHUNK
+    chunks = candidates.groupBy("id").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).withColumnRenamed("id", "of")
+    dealt = candidates.join(chunks, F.col("id").eqNullSafe(F.col("of"))).withColumn("chunk", F.pmod(F.xxhash64("item"), "chunks"))
     wanted = items.select("item", _shingles("words").alias("wanted"))
-    pairs = candidates.join(wanted, "item").groupBy("id").agg(F.collect_list(F.struct("item", "wanted")).alias("items"))
+    pairs = dealt.join(wanted, "item").groupBy("id", "chunk").agg(F.collect_list(F.struct("item", "wanted")).alias("items"))
     held = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"))
     checked = (
         held.join(pairs.hint("shuffle_hash"), F.col("own").eqNullSafe(F.col("id")))
@@ -82,9 +92,10 @@ def contaminated(
         .select("own", "x.*")
         .filter(F.col("n_shared") >= F.col("n_item") * F.lit(threshold) - 1e-9)
     )
-    best = checked.groupBy("own", "item", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    names = named.select("item", "name").distinct()
+    best = checked.join(names, "item").groupBy("own", "name", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return best.select(
-        F.col("own").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment")
+        F.col("own").alias(id_col), F.col("name").alias(item_col), "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment")
     )
 
 
