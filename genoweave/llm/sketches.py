@@ -42,13 +42,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def sketch(text: str, k: int = K) -> np.ndarray:
-    """The k least distinct hashes of the text's five-word shingles, ascending.
+def shingle_hashes(data: bytes) -> np.ndarray:
+    """A hash for every five-word shingle of UTF-8 text, in order, repeats included; empty without words.
 
-    Words are split at ASCII white space, A-Z lower-cased. Fewer words are one shingle; without any
-    the sketch is empty.
+    Words are split at ASCII white space, A-Z lower-cased. Fewer words are one shingle.
     """
-    words = text.encode().lower().split()
+    words = data.lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
     h = np.array([_hashes[w] for w in words], dtype=np.uint64)
@@ -56,8 +55,13 @@ def sketch(text: str, k: int = K) -> np.ndarray:
     total = np.full(n, len(words) if len(words) < WORDS else WORDS, dtype=np.uint64)
     for i in range(min(WORDS, len(h))):
         total += h[i : i + n] * _PLACE[i]
-    found = _mix(total)
-    if n > 8 * k:  # repeats may need more than the first k; then all are sorted
+    return _mix(total)
+
+
+def sketch(text: str, k: int = K) -> np.ndarray:
+    """The k least distinct hashes of the text's shingles, ascending; empty without words."""
+    found = shingle_hashes(text.encode())
+    if len(found) > 8 * k:  # repeats may need more than the first k; then all are sorted
         low = np.unique(np.partition(found, 4 * k)[: 4 * k])
         if len(low) >= k:
             return low[:k]
