@@ -16,9 +16,8 @@ from genoweave.llm.common import documents
 SAMPLE_DOCS = 512  # most documents read for one language's dictionary
 EXCERPT = 512  # most bytes that one of them gives, so that a wrong label weighs little
 BLOCK = 2048  # a text is encoded in blocks of so many bytes, each against the dictionary alone
-LANGUAGES = 256  # most languages learned, the most frequent first
 LEVEL = 3
-SHORT = 512  # texts up to so many bytes get a finer measure if their margin is narrow
+ENDINGS = 32  # endings of each block that are encoded too if a text's margin is narrow
 MARGIN = 0.004  # reject if the second smallest size isn't at least this much above the smallest
 SHARPNESS = 60.0  # of the score: how fast a relative margin becomes certainty
 
@@ -31,17 +30,19 @@ def letters(text: str) -> bytes:
     return _OTHER.sub(" ", text.lower()).encode()
 
 
-def fit_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def fit_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", languages: int | None = None) -> dict[str, bytes]:
     """One dictionary of raw text per language, most frequent language first.
 
-    The fit reads a bounded sample: for each of at most ``LANGUAGES`` languages the distinct texts
-    of the lowest hashes, ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each. Copies of a text count
-    once, however many there are. Rows with a null language or without text are left out.
+    The fit reads a bounded sample: for each language the distinct texts of the lowest hashes,
+    ``SAMPLE_DOCS`` at most, ``EXCERPT`` bytes of each. Copies of a text count once, however many
+    there are. All languages are learned, or the ``languages`` most frequent. Rows with a null
+    language or without text are left out.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text <> ''")
     rows = rows.withColumn("h", F.xxhash64("text"))
     each = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))
-    counts = each.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("d")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = each.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("d")).orderBy(F.desc("n"), "lang")
+    counts = (counts if languages is None else counts.limit(languages)).collect()
     u = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
     excerpt = F.substring("text", 1, 2 * EXCERPT).alias("text")  # longer, as letters() shortens it
 
@@ -67,6 +68,13 @@ def fit_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     return {r["lang"]: b" ".join(letters(t)[:EXCERPT] for _, t in sorted(texts[r["lang"]])) for r in counts}
 
 
+def endings(block: bytes) -> list[bytes]:
+    """The block from its first word on, and from others spread evenly; from every word if they are few."""
+    words = block.split()
+    step = -(-len(words) // ENDINGS)
+    return [b" ".join(words[i:]) for i in range(0, len(words), max(1, step))]
+
+
 class Classifier:
     """Sizes of a text under each language's dictionary; smallest wins, ties go to the more frequent."""
 
@@ -86,10 +94,9 @@ class Classifier:
         blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
         sizes = [sum(len(p.compress(b)) for b in blocks) for p in self.packers]
         least = min(sizes)
-        if len(data) <= SHORT and sorted(sizes)[:2][-1] - least < MARGIN * least:
-            # whole bytes are too coarse here: sum the sizes of all endings that start at a word
-            words = data.split()
-            ends = [b" ".join(words[i:]) for i in range(len(words))]
+        if sorted(sizes)[:2][-1] - least < MARGIN * least:
+            # whole bytes are too coarse here: sum the sizes of endings that start at a word
+            ends = [e for b in blocks for e in endings(b)]
             sizes = [sum(len(p.compress(e)) for e in ends) for p in self.packers]
             least = min(sizes)
         over = [(s - least) / least for s in sizes]
