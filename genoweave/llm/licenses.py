@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import LOWER, UPPER, ascii_lower, documents
+from genoweave.session import checkpointed, written
 
 THRESHOLD = 0.8  # share of a template's distinct tokens that a block must hold
 
@@ -18,7 +17,9 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Short public notices; a block is one line of a document.
+BROADCAST_ROWS = 20_000  # rows of the template tables (under 10 KB each) up to which they are broadcast
+
+# Short public notices, or the first sentence of long ones.
 TEMPLATES = {
     "mit": "Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction",
     "mit-notice": "Released under the MIT License",
@@ -44,100 +45,111 @@ def _words(text: Column) -> Column:
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
-def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(label, tokens): distinct tokens of each template; its size is that of the parameter."""
-    rows = spark.createDataFrame(list(templates.items()), "label string, text string")
-    return rows.select("label", F.array_distinct(_words(spaced(F.col("text")))).alias("tokens")).filter("size(tokens) > 0")
+def template_table(spark: SparkSession, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
+    """(label, tokens, step, need): distinct tokens of each template, the step of its blocks and the tokens that a block must hold.
+
+    Blocks are runs of 2 * step words, one begins at every step-th word; step is the template's
+    number of words, up to the next power of two. So a copy of the template lies in one block,
+    however it is wrapped and wherever it begins.
+    """
+    rows = spark.createDataFrame(list(templates.items()), "label string, text string").select("label", _words(spaced(F.col("text"))).alias("w"))
+    step = F.pow(F.lit(2), F.length(F.bin(F.size("w") - 1))).cast("int")
+    sized = rows.filter("size(w) > 0").select("label", F.array_distinct("w").alias("tokens"), F.when(F.size("w") == 1, 1).otherwise(step).alias("step"))
+    return sized.withColumn("need", F.ceil(F.size("tokens") * F.lit(threshold) - 1e-9).cast("int"))
 
 
-def matching_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, block, label, containment): every line holding at least ``threshold`` of a template.
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast what has a row for each template token, if these are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
-    Exact: template tokens are ordered by their frequency over the blocks of the whole corpus, the
-    rarest first. A block with enough of a template's n tokens shares one of its first
-    n - ceil(threshold n) + 1 tokens (prefix filter), has at least ceil(threshold n) distinct tokens
-    (length filter), and from the first shared token on enough tokens are left in the template
-    (positional filter). What passes is verified by a full intersection.
+
+def candidates(parsed: DataFrame, templates: DataFrame, positional: bool = True) -> DataFrame:
+    """(rid, label, block, need, n, wanted, has, ..): the blocks that may hold enough of a template.
+
+    parsed: (rid, seen), where ``seen`` lists (token, i), the places of template tokens. Exact:
+    tokens are ordered by the number of documents that hold them, the rarest first. A block with
+    ``need`` of a template's n tokens shares one of its first n - need + 1 (prefix filter), holds
+    ``need`` template tokens (length filter), and after the first shared token both block and
+    template have enough tokens left in that order (positional filter).
     """
-    spark, templates = docs.sparkSession, templates or TEMPLATES
-    parts = [(r["label"], list(r["tokens"])) for r in template_table(spark, templates).collect()]
-    vocabulary = sorted({t for _, tokens in parts for t in tokens})
-    if not vocabulary:
-        return docs.select(F.col(id_col).alias("id"), F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("block", "line"))
-    blocks = lines.select("id", "block", F.array_distinct(_words(spaced(F.col("line")))).alias("tokens"))
-    known = F.array(*map(F.lit, vocabulary))
-    # a row for each template token at most: all that leaves a task
-    counted = blocks.select(F.explode(F.array_intersect("tokens", known)).alias("token")).groupBy("token").count()
-    frequency = {r["token"]: r["count"] for r in counted.collect()}
-    need = {label: math.ceil(threshold * len(tokens) - 1e-9) for label, tokens in parts}
-    index, sets = [], []
-    for label, tokens in parts:
-        tokens.sort(key=lambda t: (frequency.get(t, 0), t))
-        sets.append((label, tokens, need[label]))
-        index += [(t, label, p) for p, t in enumerate(tokens[: len(tokens) - need[label] + 1])]
-    probe = spark.createDataFrame(index, "token string, label string, pos int")
-    full = spark.createDataFrame(sets, "label string, wanted array<string>, need int")
-    prefixes = F.array(*map(F.lit, sorted({t for t, _, _ in index})))
-    # the templates are a parameter of fixed size, so both small tables may be broadcast
-    hits = (
-        blocks.filter(F.size("tokens") >= min(need.values()))
-        .withColumn("shared", F.array_intersect("tokens", prefixes))
-        .filter(F.size("shared") > 0)
-        .select("id", "block", "tokens", F.explode("shared").alias("token"))
-        .join(F.broadcast(probe), "token")
-        .join(F.broadcast(full), "label")
-        .filter(F.size("tokens") >= F.col("need"))
-        .filter(F.size("wanted") - F.col("pos") >= F.col("need"))
-    )
-    overlap = F.size(F.array_intersect("tokens", "wanted"))
-    return (
-        hits.withColumn("overlap", overlap)
-        .filter(F.col("overlap") >= F.col("need"))
-        .select("id", "block", "label", (F.col("overlap") / F.size("wanted")).alias("containment"))
-        .distinct()
+    counted = parsed.select(F.explode(F.array_distinct(F.col("seen.token"))).alias("token")).groupBy("token").count()
+    order = Window.partitionBy("label").orderBy(F.coalesce("count", F.lit(0)), "token")
+    ranked = templates.select("label", "step", "need", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).join(counted, "token", "left")
+    ranked = ranked.withColumn("p", F.row_number().over(order) - 1).withColumn("key", F.struct(F.coalesce("count", F.lit(0)).alias("f"), F.col("token").alias("t")))
+    wanted = ranked.groupBy("label").agg(F.array_sort(F.collect_list("key")).alias("wanted"))
+    probe = _small(checkpointed(ranked.filter("p <= n - need").join(wanted, "label").select("label", "step", "need", "n", "token", "wanted")))
+    frequency = _small(checkpointed(counted.withColumnRenamed("count", "f")))
+    # only what lies near a rare token of a template is looked at
+    at = parsed.select("rid", "seen", F.explode("seen").alias("e")).select("rid", "seen", "e.token", "e.i").join(probe, "token")
+    first = F.floor(F.col("i") / F.col("step"))
+    blocks = at.withColumn("block", F.explode(F.array(first, F.greatest(first - 1, F.lit(0)))))
+    inside = F.filter("seen", lambda x: (x["i"] >= F.col("block") * F.col("step")) & (x["i"] < (F.col("block") + 2) * F.col("step")))
+    held = blocks.select("rid", "label", "need", "n", "wanted", "block", F.array_distinct(F.transform(inside, lambda x: x["token"])).alias("tokens"))
+    held = held.filter(F.size("tokens") >= F.col("need")).dropDuplicates(["rid", "label", "block"])
+    # the tokens of a block in the global order
+    keyed = held.select("*", F.explode("tokens").alias("token")).join(frequency, "token")
+    grouped = keyed.groupBy("rid", "label", "block").agg(
+        F.first("need").alias("need"), F.first("n").alias("n"), F.first("wanted").alias("wanted"), F.array_sort(F.collect_list(F.struct(F.col("f"), F.col("token").alias("t")))).alias("has")
     )
+    lowest = F.array_min(F.array_intersect("has", "wanted"))
+    left = F.least(F.size(F.filter("has", lambda x: x > F.col("lowest"))), F.size(F.filter("wanted", lambda x: x > F.col("lowest"))))
+    passed = grouped.withColumn("lowest", lowest).withColumn("bound", left + 1)
+    return passed.filter("bound >= need") if positional else passed
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Labels of every document: base phrases and matching blocks.
+def matching_blocks(parsed: DataFrame, templates: DataFrame) -> DataFrame:
+    """(rid, label, block, containment): every block that holds enough of a template, by a full intersection of candidates."""
+    checked = candidates(parsed, templates).withColumn("overlap", F.size(F.array_intersect("has", "wanted")))
+    return checked.filter("overlap >= need").select("rid", "label", "block", (F.col("overlap") / F.col("n")).alias("containment"))
 
-    Returns id, n_words, n_base, first_word, last_word (null without a base phrase), base_labels,
-    labels (sorted, comma-joined; empty without any) and score: 1 with a base phrase, else the
-    largest containment of a matching block, else 0. Null texts are empty. Rows that share an id
-    share the block labels; null ids are kept; other columns are ignored; no rows give no rows.
+
+def parse(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rid, own, n_words, p0 .., seen), in one scan: number of words, places of each phrase, places of template tokens.
+
+    The result is a written table, a row for each row of ``docs``; rid numbers them.
     """
-    text = spaced(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("own"), text.alias("s"))
-    some = F.lit(False)
-    for phrase in PHRASES:
-        some = some | F.contains("s", F.lit(f" {phrase} "))
-    words = F.split(F.trim("s"), " ")
+    vocabulary = sorted({t for r in templates.select("tokens").collect() for t in r["tokens"]})
+    rows = docs.select(F.col(id_col).alias("own"), spaced(F.coalesce(F.col(text_col), F.lit(""))).alias("s"))
+    none = F.array().cast("array<int>")
 
     def places(phrase: str) -> Column:
         parts = phrase.split(" ")
         at = F.sequence(F.lit(1), F.size("w") - len(parts) + 1)
         here = lambda i: F.forall(F.array(*[F.element_at("w", i + j) == p for j, p in enumerate(parts)]), lambda x: x)
-        return F.when(F.size("w") >= len(parts), F.filter(at, here)).otherwise(F.array().cast("array<int>"))
+        return F.when(F.contains("s", F.lit(f" {phrase} ")), F.filter(at, here)).otherwise(none)
 
-    none = F.array().cast("array<int>")
-    n_words = F.when(F.col("s") == "  ", 0).otherwise(F.char_length("s") - F.char_length(F.replace("s", F.lit(" "), F.lit(""))) - 1)
-    base = (
-        rows.select("own", n_words.cast("bigint").alias("n_words"), F.when(some, words).alias("w"))
-        .select("own", "n_words", *[F.when(F.col("w").isNull(), none).otherwise(places(p)).alias(f"p{i}") for i, p in enumerate(PHRASES)])
-        .withColumn("at", F.concat(*[f"p{i}" for i in range(len(PHRASES))]))
-        .select(
-            "own",
-            "n_words",
-            F.size("at").cast("bigint").alias("n_base"),
-            (F.array_min("at") - 1).cast("bigint").alias("first_word"),
-            (F.array_max("at") - 1).cast("bigint").alias("last_word"),
-            F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())])))).alias("base"),
-        )
+    places_of = F.transform("w", lambda x, i: F.struct(x.alias("token"), i.alias("i")))
+    seen = F.filter(places_of, lambda x: x["token"].isin(vocabulary) if vocabulary else F.lit(False))
+    out = rows.select("own", "s", _words(F.col("s")).alias("w")).select(
+        F.monotonically_increasing_id().alias("rid"), "own", F.size("w").cast("bigint").alias("n_words"), *[places(p).alias(f"p{i}") for i, p in enumerate(PHRASES)], seen.alias("seen")
+    )
+    return written(out, "license-words")
+
+
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """Labels of every document: base phrases and matching blocks.
+
+    Returns id, n_words, n_base, first_word, last_word (null without a base phrase), base_labels,
+    labels (sorted, comma-joined; empty without any) and score: 1 with a base phrase, else the
+    largest containment of a matching block, else 0. Null texts are empty. Every row is judged by
+    its own text, repeated rows and rows that share or lack an id too; other columns are ignored; no
+    rows give no rows.
+    """
+    known = template_table(docs.sparkSession, TEMPLATES if templates is None else templates, threshold)
+    parsed = parse(docs, known, id_col, text_col)
+    at = F.concat(*[f"p{i}" for i in range(len(PHRASES))])
+    base = parsed.select(
+        "rid",
+        F.col("own"),
+        "n_words",
+        F.size(at).cast("bigint").alias("n_base"),
+        (F.array_min(at) - 1).cast("bigint").alias("first_word"),
+        (F.array_max(at) - 1).cast("bigint").alias("last_word"),
+        F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())])))).alias("base"),
     )
-    found = matching_blocks(docs, id_col, text_col, templates, threshold)
-    found = found.groupBy("id").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
-    return base.join(found, F.col("own").eqNullSafe(F.col("id")), "left").select(
+    found = matching_blocks(parsed.select("rid", "seen"), known)
+    found = found.groupBy("rid").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
+    return base.join(found, "rid", "left").select(
         F.col("own").alias(id_col),
         "n_words",
         "n_base",
@@ -160,11 +172,14 @@ def _sql() -> str:
     return f"""
 WITH d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
 phrases(phrase, n, label) AS (VALUES {phrases}),
-wanted AS (SELECT label, list_distinct({words("t")}) AS t FROM (VALUES {templates}) x(label, t)),
+wanted AS (SELECT label, {words("t")} AS w FROM (VALUES {templates}) x(label, t)),
 places AS (SELECT doc_id, label, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d) e, phrases WHERE w[i + 1] = split_part(phrase, ' ', 1) AND array_to_string(w[i + 1:i + n], ' ') = phrase),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS b FROM places GROUP BY doc_id),
-blocks AS (SELECT doc_id, list_distinct({words("line")}) AS t FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) x),
-hits AS (SELECT doc_id, label, len(list_intersect(b.t, w.t)) / len(w.t) AS c FROM blocks b, wanted w WHERE len(list_intersect(b.t, w.t)) >= {THRESHOLD} * len(w.t) - 1e-9),
+sized AS (SELECT label, list_distinct(w) AS t, CAST(pow(2, ceil(log2(len(w)))) AS BIGINT) AS step FROM wanted),
+tokens AS (SELECT label, step, len(t) AS n, unnest(t) AS token FROM sized),
+seen AS (SELECT doc_id, w[i + 1] AS token, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d) x),
+placed AS (SELECT doc_id, label, n, token, unnest([i // step, i // step - 1]) AS block FROM seen JOIN tokens USING (token)),
+hits AS (SELECT doc_id, label, count(DISTINCT token) / n AS c FROM placed WHERE block >= 0 GROUP BY doc_id, label, n, block HAVING count(DISTINCT token) >= {THRESHOLD} * n - 1e-9),
 best AS (SELECT doc_id, list(DISTINCT label) AS m, max(c) AS c FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   array_to_string(coalesce(b, []), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(b, []), coalesce(m, [])))), ',') AS labels,
