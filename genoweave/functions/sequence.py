@@ -19,10 +19,8 @@ def reverse_complement(seq: Column) -> Column:
 
 
 def chunks(seq: Column, n: int) -> Column:
-    """Substrings of n letters; the last may be shorter; none for an empty string."""
-    count = F.ceil(F.length(seq) / n).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substr(seq, i * n + 1, F.lit(n)))
-    return F.when(F.length(seq) > 0, parts).otherwise(F.array().cast("array<string>"))
+    """Substrings of n letters; the last may be shorter; none for an empty string or null. Linear in the length."""
+    return F.coalesce(F.regexp_extract_all(seq, F.lit(f"(?s).{{1,{n}}}"), F.lit(0)), F.array().cast("array<string>"))
 
 
 def translate(seq: Column) -> Column:
@@ -49,3 +47,32 @@ def longest_run(states: Column, stop: str = "L") -> Column:
 def frame_balance(lengths: Column) -> Column:
     """Sum of indel lengths modulo 3, never negative."""
     return F.pmod(F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(3))
+
+
+STOPS = ("TAA", "TAG", "TGA")
+
+
+def mask_codon(codon: Column) -> Column:
+    """XXX for a stop codon or one with a gap or a broken length; a wholly missing codon stays ``---``."""
+    broken = codon.isin(*STOPS) | F.contains(codon, F.lit("-")) | (F.length(codon) % 3 != 0)
+    return F.when(codon == "---", codon).when(broken, F.lit("XXX")).otherwise(codon)
+
+
+def until_stop(seq: Column) -> Column:
+    """Upper-case sequence up to and with the first stop codon, in any frame; empty if there is none."""
+    return F.regexp_extract(F.upper(seq), f"(?s)^.*?(?:{'|'.join(STOPS)})", 0)
+
+
+def coding_only(seq: Column) -> Column:
+    """The upper-case letters alone, without gaps and introns."""
+    return F.regexp_replace(seq, "[^A-Z]", "")
+
+
+def is_complete_codon(codon: Column) -> Column:
+    """Three letters, whatever else stands between them, or a wholly missing codon."""
+    return (F.length(F.regexp_replace(codon, "[^A-Za-z]", "")) == 3) | (codon == "---")
+
+
+def is_frameshift_codon(codon: Column) -> Column:
+    """A number of gaps that three does not divide."""
+    return F.length(F.regexp_replace(codon, "[^-]", "")) % 3 != 0

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIN = 1024
+RANGE = 1 << 20  # bases of a sequence that one task sorts
 
 
 def overlap(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
@@ -40,24 +41,50 @@ def point_join(points: DataFrame, spans: DataFrame, on: list[str], pos: str, spa
     return joined.filter((F.col(span[0]) <= F.col(pos)) & (F.col(pos) <= F.col(span[1]))).drop("_bin")
 
 
-def merge_intervals(df: DataFrame, by: list[str], start: str, end: str, order: list[str]) -> DataFrame:
-    """Islands of intervals that overlap by at least one base: by..., grp, m_start, m_end, n."""
-    w = Window.partitionBy(*by).orderBy(start, end, *order)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = df.withColumn("_new", F.when(F.col(start) < reach, 0).otherwise(1))
-    grouped = flagged.withColumn("grp", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return grouped.groupBy(*by, "grp").agg(F.min(start).alias("m_start"), F.max(end).alias("m_end"), F.count("*").alias("n"))
+def _carried(df: DataFrame, by: list[str], bins: DataFrame) -> DataFrame:
+    """The rows with the columns of their own (by, _bin); ``bins`` has a row for each."""
+    other = bins.select(*[F.col(c).alias(f"_own_{c}") for c in [*by, "_bin"]], *[c for c in bins.columns if c not in (*by, "_bin")])
+    same = F.lit(True)
+    for c in [*by, "_bin"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+    return df.join(other, same).drop(*[f"_own_{c}" for c in [*by, "_bin"]])
 
 
-def discretize(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
+def merge_intervals(df: DataFrame, by: list[str], start: str, end: str, order: list[str], size: int = RANGE) -> DataFrame:
+    """Islands of intervals that overlap by at least one base: by..., grp, m_start, m_end, n.
+
+    A sequence is cut into ranges of ``size`` by the start; a range takes over how far earlier ones
+    reach and how many islands they began, so that only a row for each range is ordered in one task.
+    """
+    ranged = df.withColumn("_bin", F.floor(F.col(start) / size))
+    earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ranged.groupBy(*by, "_bin").agg(F.max(end).alias("_max"))
+    reached = _carried(ranged, by, ends.select(*by, "_bin", F.max("_max").over(earlier).alias("_before")))
+    w = Window.partitionBy(*by, "_bin").orderBy(start, end, *order)
+    reach = F.greatest("_before", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    flagged = reached.withColumn("_new", F.when(F.col(start) < reach, 0).otherwise(1))
+    begun = flagged.groupBy(*by, "_bin").agg(F.sum("_new").alias("_n"))
+    begun = begun.select(*by, "_bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    numbered = _carried(flagged, by, begun)
+    grp = F.col("_base") + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return numbered.withColumn("grp", grp).groupBy(*by, "grp").agg(F.min(start).alias("m_start"), F.max(end).alias("m_end"), F.count("*").alias("n"))
+
+
+def discretize(df: DataFrame, by: list[str], start: str, end: str, size: int = RANGE) -> DataFrame:
     """Elementary units between neighbouring breakpoints that at least one interval covers.
 
     Depth is a running sum of +1 and -1 at the breakpoints, so no interval is joined to its units.
+    Ranges of ``size`` take over the depth before them and the first breakpoint after them.
     """
     edges = df.filter(F.col(end) > F.col(start)).select(*by, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("d")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = edges.groupBy(*by, F.col("e.at").alias("u_start")).agg(F.sum("e.d").alias("d"))
-    w = Window.partitionBy(*by).orderBy("u_start")
-    units = steps.select(*by, "u_start", F.lead("u_start").over(w).alias("u_end"), F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"))
+    steps = edges.groupBy(*by, F.col("e.at").alias("u_start")).agg(F.sum("e.d").alias("d")).withColumn("_bin", F.floor(F.col("u_start") / size))
+    along = Window.partitionBy(*by).orderBy("_bin")
+    bins = steps.groupBy(*by, "_bin").agg(F.sum("d").alias("_d"), F.min("u_start").alias("_first"))
+    before = F.coalesce(F.sum("_d").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = _carried(steps, by, bins.select(*by, "_bin", before.alias("_depth"), F.lead("_first").over(along).alias("_next")))
+    w = Window.partitionBy(*by, "_bin").orderBy("u_start")
+    depth = F.col("_depth") + F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    units = steps.select(*by, "u_start", F.coalesce(F.lead("u_start").over(w), "_next").alias("u_end"), depth.alias("depth"))
     return units.filter("depth > 0")
 
 

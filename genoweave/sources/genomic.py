@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from genoweave.functions.sequence import chunks
+
 BED12 = "chrom string, start long, end long, name string, score string, strand string, thick_start long, thick_end long, rgb string, n_blocks int, sizes string, starts string"
 CHAIN_HEADER = ["score", "t_name", "t_size", "t_strand", "t_start", "t_end", "q_name", "q_size", "q_strand", "q_start", "q_end", "chain"]  # fixed values
 _NAMES = ("t_name", "t_strand", "q_name", "q_strand")
@@ -116,10 +118,9 @@ def fasta_lines(rows: DataFrame, header: str, seq: str) -> DataFrame:
 
 
 def tiles(contigs: DataFrame, size: int = 1 << 16) -> DataFrame:
-    """(header, seq) -> (chrom, tile, seq): a genome table with random access by (chrom, tile)."""
-    at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("seq") - 1), F.lit(size))
-    parts = contigs.select(F.col("header").alias("chrom"), "seq", F.posexplode(at).alias("tile", "from"))
-    return parts.select("chrom", "tile", F.substr("seq", F.col("from") + 1, F.lit(size)).alias("seq"))
+    """(header, seq) -> (chrom, tile, seq): a genome table with random access by (chrom, tile); an empty contig is one empty tile."""
+    parts = F.when(F.length("seq") > 0, chunks(F.col("seq"), size)).otherwise(F.array(F.lit("")))
+    return contigs.select(F.col("header").alias("chrom"), F.posexplode(parts).alias("tile", "seq"))
 
 
 def fetch(regions: DataFrame, genome: DataFrame, size: int = 1 << 16) -> DataFrame:
