@@ -242,12 +242,12 @@ def components(spark, d):
 
 _CLASS = f"""{X.EDGES}, {X.COMPONENTS}, m AS (SELECT comp, r, q FROM edges JOIN comp ON q = node),
 k AS (SELECT comp, count(DISTINCT r) AS n_ref, count(DISTINCT q) AS n_query, count(*) AS n_edges FROM m GROUP BY comp
-  UNION ALL SELECT DISTINCT 'R' || CAST(c_custkey AS VARCHAR), 1, 0, 0 FROM customer WHERE 'R' || CAST(c_custkey AS VARCHAR) NOT IN (SELECT r FROM edges))"""
+  UNION ALL SELECT DISTINCT 'R' || CAST(o_orderkey AS VARCHAR), 1, 0, 0 FROM orders WHERE 'R' || CAST(o_orderkey AS VARCHAR) NOT IN (SELECT r FROM edges))"""
 
 
 @_register(f"""WITH RECURSIVE {_CLASS} SELECT *, CASE WHEN n_query = 0 THEN 'one2zero' WHEN n_ref = 1 AND n_query = 1 THEN 'one2one' WHEN n_ref = 1 THEN 'one2many' WHEN n_query = 1 THEN 'many2one' ELSE 'many2many' END AS class, n_edges = n_ref * n_query AS complete FROM k""")
 def orthology_class(spark, d):
-    nodes = X.table(spark, d, "customer").selectExpr("concat('R', c_custkey) AS r")
+    nodes = X.table(spark, d, "orders").selectExpr("concat('R', o_orderkey) AS r")
     return G.orthology_classes(X.edges(spark, d).drop("weight"), nodes)
 
 

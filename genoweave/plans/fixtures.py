@@ -37,9 +37,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    rows = li.filter("l_quantity >= 49 AND l_discount >= 0.09").join(o, li["l_orderkey"] == o["o_orderkey"])
-    return rows.groupBy(F.expr("concat('R', o_custkey)").alias("r"), F.expr("concat('Q', l_partkey)").alias("q")).agg(F.expr("max(CAST((l_orderkey * 37 + l_linenumber) % 1000 AS BIGINT))").alias("weight"))
+    rows = table(spark, sf_dir, "lineitem").selectExpr("concat('R', l_orderkey) AS r", f"{QUERY_GENE.format('div')} AS q", "(l_orderkey * 37 + l_linenumber) % 1000 AS weight")
+    return rows.groupBy("r", "q").agg(F.max("weight").alias("weight"))
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +82,10 @@ METRICS = {
     "big_exon": "o_orderkey % 11 = 0",
 }
 
+# every line is an edge: components of up to 64 reference genes, and of each class; {0} divides integers
+QUERY_GENE = """CASE WHEN l_orderkey {0} 64 % 16 = 0 THEN concat('Q', l_orderkey {0} 64, 'h', l_partkey % 40) WHEN l_orderkey {0} 8 % 4 = 0 THEN concat('Q', l_orderkey)
+  WHEN l_orderkey {0} 8 % 4 = 1 THEN concat('Q', l_orderkey, '_', l_partkey % 3) WHEN l_orderkey {0} 8 % 4 = 2 THEN concat('Q', l_orderkey {0} 2, 'p') ELSE concat('Q', l_orderkey {0} 8, 'b', l_partkey % 13) END"""
+
 EXONS = """exons AS (SELECT l_orderkey AS tx, 'chr' || CAST(l_orderkey % 5 AS VARCHAR) AS chrom, CAST(l_linenumber AS BIGINT) AS exon,
   (l_orderkey * 7919) % 2000000 + (CAST(l_linenumber AS BIGINT) - 1) * 400 AS e_start,
   (l_orderkey * 7919) % 2000000 + (CAST(l_linenumber AS BIGINT) - 1) * 400 + CAST(l_quantity AS BIGINT) * 3 AS e_end FROM lineitem)"""
@@ -95,8 +98,7 @@ cs AS (SELECT chain, chrom, min(b_start) AS c_start, max(b_end) AS c_end FROM bl
 ISOFORMS = "isoforms AS (SELECT o_custkey % 500 AS gene, o_orderkey AS tx FROM orders)"
 FEATURE_CTE = f"features AS (SELECT {', '.join(f'{e} AS {c}' for c, e in FEATURES.items())} FROM lineitem)"
 METRIC_CTE = f"metrics AS (SELECT {', '.join(f'{e} AS {c}' for c, e in METRICS.items())} FROM orders)"
-EDGES = """edges AS (SELECT 'R' || CAST(o_custkey AS VARCHAR) AS r, 'Q' || CAST(l_partkey AS VARCHAR) AS q, max((l_orderkey * 37 + l_linenumber) % 1000) AS weight
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 49 AND l_discount >= 0.09 GROUP BY 1, 2)"""
+EDGES = f"""edges AS (SELECT 'R' || CAST(l_orderkey AS VARCHAR) AS r, {QUERY_GENE.format('//')} AS q, max((l_orderkey * 37 + l_linenumber) % 1000) AS weight FROM lineitem GROUP BY 1, 2)"""
 COMPONENTS = """u AS (SELECT r AS a, q AS b FROM edges UNION SELECT q, r FROM edges),
 w(a, b) AS (SELECT a, a FROM u UNION SELECT w.a, u.b FROM w JOIN u ON w.b = u.a),
 comp AS (SELECT a AS node, min(b) AS comp FROM w GROUP BY a)"""

@@ -27,7 +27,8 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "12g") -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, one machine) is a temporary folder chosen.
+    Only on one machine (tests) is a temporary folder chosen where none is named; a cluster that
+    names none is an error, as its executors would each write to their own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -35,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     if not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "genoweave-checkpoints"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
