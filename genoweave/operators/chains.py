@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.operators.intervals import interval_join, overlap
@@ -80,3 +80,58 @@ def liftover(exons: DataFrame, blocks: DataFrame) -> DataFrame:
     shift = F.col("q_start") - F.col("b_start")
     found = hits.groupBy("tx", "exon", "chain").agg(F.min(F.struct(low.alias("t"), (low + shift).alias("q"))).alias("a"), F.max(F.struct(high.alias("t"), (high + shift).alias("q"))).alias("b"))
     return found.select("tx", "exon", "chain", F.col("a.q").alias("q_start"), F.col("b.q").alias("q_end"))
+
+
+def query_position(at: str) -> Column:
+    """Where the reference base border ``at`` inside a block (b_start, q_start, q_end, codirected) lies in the query."""
+    offset = F.col(at) - F.col("b_start")
+    return F.when(F.col("codirected"), F.col("q_start") + offset).otherwise(F.col("q_end") - offset)
+
+
+def subchains(regions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """regions (tx, chrom, k_start, k_end) -> (tx, chain, piece, t_start, t_end, p_start, p_end, dt, dq).
+
+    The pieces of a chain's blocks inside each region, numbered from 1 along the reference, with
+    their query range on the forward strand and the gaps to the next piece; null after the last.
+    blocks (chain, chrom, b_start, b_end, q_start, q_end, codirected). A region counts by its name
+    ``tx`` and chromosome; blocks that only touch it have no piece.
+    """
+    hits = interval_join(regions, blocks, ["chrom"], ("k_start", "k_end"), ("b_start", "b_end"), 8192)
+    cut = hits.withColumns({"t_start": F.greatest("k_start", "b_start"), "t_end": F.least("k_end", "b_end")})
+    cut = cut.withColumns({"_a": query_position("t_start"), "_b": query_position("t_end")})
+    cut = cut.withColumns({"p_start": F.least("_a", "_b"), "p_end": F.greatest("_a", "_b")})
+    w = Window.partitionBy("tx", "chrom", "chain").orderBy("t_start", "t_end")
+    dt, start, end = F.lead("t_start").over(w) - F.col("t_end"), F.lead("p_start").over(w), F.lead("p_end").over(w)
+    dq = F.when(F.col("codirected"), start - F.col("p_end")).otherwise(F.col("p_start") - end)
+    return cut.select("tx", "chain", F.row_number().over(w).alias("piece"), "t_start", "t_end", "p_start", "p_end", dt.alias("dt"), dq.alias("dq"))
+
+
+def cds_boundaries(exons: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(tx, chain, t_lo, t_hi, q_lo, q_hi): first and last aligned base of a transcript's exons on
+    either side, without extrapolation; strands as in ``subchains``."""
+    hits = interval_join(exons, blocks, ["chrom"], ("e_start", "e_end"), ("b_start", "b_end"))
+    hits = hits.withColumns({"_lo": F.greatest("e_start", "b_start"), "_hi": F.least("e_end", "b_end")})
+    ends = hits.groupBy("tx", "chain").agg(F.min(F.struct(F.col("_lo").alias("t"), query_position("_lo").alias("q"))).alias("a"), F.max(F.struct(F.col("_hi").alias("t"), query_position("_hi").alias("q"))).alias("b"))
+    return ends.select("tx", "chain", F.col("a.t").alias("t_lo"), F.col("b.t").alias("t_hi"), F.least("a.q", "b.q").alias("q_lo"), F.greatest("a.q", "b.q").alias("q_hi"))
+
+
+def exon_query_share(cover: DataFrame, spans: DataFrame) -> DataFrame:
+    """(chain, exon_qlen): coding bases over the chain's query length.
+
+    cover (tx, chain, n_exons, cov), spans (chain, q_len), the query length without what UTR exons
+    align to. 0 if no transcript has two exons on the chain or there is no length.
+    """
+    sums = cover.groupBy("chain").agg(F.sum("cov").alias("cds"), F.max("n_exons").alias("most"))
+    share = F.when((F.col("most") > 1) & (F.col("q_len") > 0), F.col("cds") / F.col("q_len")).otherwise(0.0)
+    return spans.join(sums, "chain").select("chain", share.alias("exon_qlen"))
+
+
+def tiling_candidates(cover: DataFrame, n_exons: DataFrame, most_cover: float = 1.33) -> DataFrame:
+    """(tx, chain): chains of transcripts that may lie in fragments.
+
+    cover (tx, chain, n_exons): exons that each chain touches; n_exons (tx, n). A transcript needs
+    several chains, none with all exons, and at most ``most_cover`` chains an exon on average.
+    """
+    rule = cover.groupBy("tx").agg(F.count("*").alias("chains"), F.max("n_exons").alias("most"), F.sum("n_exons").alias("met")).join(n_exons, "tx")
+    fit = rule.filter((F.col("chains") > 1) & (F.col("most") < F.col("n")) & (F.col("met") <= F.col("n") * most_cover)).select("tx")
+    return cover.join(fit, "tx", "left_semi").select("tx", "chain")

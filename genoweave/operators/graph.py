@@ -44,13 +44,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return leaves.unionByName(leaves.select(F.col("root").alias("vertex"), "root").distinct())
 
 
-def orthology_classes(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def orthology_classes(edges: DataFrame, nodes: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
     """(comp, n_ref, n_query, n_edges, class, complete) of a bipartite (r, q) edge table.
 
     ``nodes`` (r) adds reference genes without an edge, which are one2zero. A component is complete
-    if every reference gene of it has an edge to every query gene.
+    if every reference gene of it has an edge to every query gene. ``roots`` are the components of
+    the edges where they are known already.
     """
-    roots = connected_components(edges, "r", "q")
+    if roots is None:
+        roots = connected_components(edges, "r", "q")
     member = edges.distinct().join(roots, F.col("q") == F.col("vertex")).select("r", "q", F.col("root").alias("comp"))
     found = member.groupBy("comp").agg(
         F.countDistinct("r").alias("n_ref"), F.countDistinct("q").alias("n_query"), F.count("*").alias("n_edges")

@@ -41,7 +41,7 @@ def point_join(points: DataFrame, spans: DataFrame, on: list[str], pos: str, spa
     return joined.filter((F.col(span[0]) <= F.col(pos)) & (F.col(pos) <= F.col(span[1]))).drop("_bin")
 
 
-def _carried(df: DataFrame, by: list[str], bins: DataFrame) -> DataFrame:
+def carried(df: DataFrame, by: list[str], bins: DataFrame) -> DataFrame:
     """The rows with the columns of their own (by, _bin); ``bins`` has a row for each."""
     other = bins.select(*[F.col(c).alias(f"_own_{c}") for c in [*by, "_bin"]], *[c for c in bins.columns if c not in (*by, "_bin")])
     same = F.lit(True)
@@ -59,13 +59,13 @@ def merge_intervals(df: DataFrame, by: list[str], start: str, end: str, order: l
     ranged = df.withColumn("_bin", F.floor(F.col(start) / size))
     earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     ends = ranged.groupBy(*by, "_bin").agg(F.max(end).alias("_max"))
-    reached = _carried(ranged, by, ends.select(*by, "_bin", F.max("_max").over(earlier).alias("_before")))
+    reached = carried(ranged, by, ends.select(*by, "_bin", F.max("_max").over(earlier).alias("_before")))
     w = Window.partitionBy(*by, "_bin").orderBy(start, end, *order)
     reach = F.greatest("_before", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     flagged = reached.withColumn("_new", F.when(F.col(start) < reach, 0).otherwise(1))
     begun = flagged.groupBy(*by, "_bin").agg(F.sum("_new").alias("_n"))
     begun = begun.select(*by, "_bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    numbered = _carried(flagged, by, begun)
+    numbered = carried(flagged, by, begun)
     grp = F.col("_base") + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return numbered.withColumn("grp", grp).groupBy(*by, "grp").agg(F.min(start).alias("m_start"), F.max(end).alias("m_end"), F.count("*").alias("n"))
 
@@ -81,7 +81,7 @@ def discretize(df: DataFrame, by: list[str], start: str, end: str, size: int = R
     along = Window.partitionBy(*by).orderBy("_bin")
     bins = steps.groupBy(*by, "_bin").agg(F.sum("d").alias("_d"), F.min("u_start").alias("_first"))
     before = F.coalesce(F.sum("_d").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    steps = _carried(steps, by, bins.select(*by, "_bin", before.alias("_depth"), F.lead("_first").over(along).alias("_next")))
+    steps = carried(steps, by, bins.select(*by, "_bin", before.alias("_depth"), F.lead("_first").over(along).alias("_next")))
     w = Window.partitionBy(*by, "_bin").orderBy("u_start")
     depth = F.col("_depth") + F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
     units = steps.select(*by, "u_start", F.coalesce(F.lead("u_start").over(w), "_next").alias("u_end"), depth.alias("depth"))

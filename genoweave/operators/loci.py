@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.operators.graph import connected_components
-from genoweave.operators.intervals import interval_join
+from genoweave.operators.intervals import RANGE, carried, interval_join
 
 
 def overlapping_pairs(exons: DataFrame, key: str, on: list[str]) -> DataFrame:
@@ -32,8 +32,12 @@ def query_gene_loci(exons: DataFrame, apart: DataFrame) -> DataFrame:
     roots = connected_components(links).select(F.col("vertex").alias("proj"), "root")
     spans = exons.groupBy("proj", "chrom").agg(F.min("e_start").alias("s"), F.max("e_end").alias("e"))
     genes = spans.join(roots, "proj", "left").groupBy("chrom", F.coalesce("root", "proj").alias("root")).agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("n"))
-    number = F.row_number().over(Window.partitionBy("chrom").orderBy("g_start", "g_end", "root"))
-    return genes.select("chrom", number.alias("locus"), "g_start", "g_end", "n")
+    # ranges of a chromosome are numbered apart and take over how many loci come before them
+    ranged = genes.withColumn("_bin", F.floor(F.col("g_start") / RANGE))
+    earlier = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("chrom", "_bin").agg(F.count("*").alias("_n")).select("chrom", "_bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    number = F.row_number().over(Window.partitionBy("chrom", "_bin").orderBy("g_start", "g_end", "root"))
+    return carried(ranged, ["chrom"], before).select("chrom", (F.col("_base") + number).cast("int").alias("locus"), "g_start", "g_end", "n")
 
 
 def training_rows(features: DataFrame, genes: DataFrame, one2one: DataFrame, least_cover: int = 10, most_chains: int = 10) -> DataFrame:

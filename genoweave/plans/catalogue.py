@@ -364,7 +364,12 @@ def contig_sizes(spark, d):
 
 @_register()
 def chain_tiling(spark, d):
-    return K.best_tiling(C.chain_spans(X.blocks(spark, d)).selectExpr("chrom AS tx", "chain", "c_start", "c_end", "c_end - c_start AS score"))
+    # every block counts as a chain of its own, so that transcripts lie in several
+    exons, pieces = X.exons(spark, d), X.blocks(spark, d).selectExpr("blk AS chain", "chrom", "b_start AS c_start", "b_end AS c_end")
+    met = I.interval_join(exons, pieces, ["chrom"], ("e_start", "e_end"), ("c_start", "c_end"))
+    cover = met.groupBy("tx", "chain").agg(F.countDistinct("exon").alias("n_exons"))
+    chosen = C.tiling_candidates(cover, exons.groupBy("tx").agg(F.countDistinct("exon").alias("n")))
+    return K.best_tiling(chosen.join(pieces, "chain").selectExpr("tx", "chain", "c_start - 300 AS c_start", "c_end + 300 AS c_end", "c_end - c_start AS score"))
 
 
 @_register()
