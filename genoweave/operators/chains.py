@@ -135,3 +135,44 @@ def tiling_candidates(cover: DataFrame, n_exons: DataFrame, most_cover: float =
     rule = cover.groupBy("tx").agg(F.count("*").alias("chains"), F.max("n_exons").alias("most"), F.sum("n_exons").alias("met")).join(n_exons, "tx")
     fit = rule.filter((F.col("chains") > 1) & (F.col("most") < F.col("n")) & (F.col("met") <= F.col("n") * most_cover)).select("tx")
     return cover.join(fit, "tx", "left_semi").select("tx", "chain")
+
+
+def map_exons(exons: DataFrame, pairs: DataFrame, blocks: DataFrame, most_gap: int = 1_000_000, most_trim: int = 2000) -> DataFrame:
+    """(tx, exon, chain, state, q_start, q_end, covered): where each exon of the pairs (tx, chain) lies in the query.
+
+    exons (tx, chrom, exon, e_start, e_end), blocks (chain, chrom, blk, b_start, b_end, q_start,
+    q_end, codirected). ``mapped``: blocks reach the exon; its ends are projected through the first
+    and last of them, beyond them in a straight line, from 0 at least. A locus of five times the
+    exon's length shrinks to 1.1 times, at its start if no block follows it in the query but one
+    precedes it, else at its end. ``gap``: the exon lies in a gap whose query side is at least as
+    long as the exon and at most ``most_gap``. ``out``: out of the chain. ``missing``: all else, also an
+    exon of several blocks that protrudes over ``most_trim`` bases, or without a range. Only the
+    first two have a range. Flanks of dangling ends and long introns are not corrected.
+    """
+    c = F.col
+    chains = blocks.groupBy("chain", "chrom").agg(F.min("b_start").alias("c_start"), F.max("b_end").alias("c_end"), F.max("q_start").alias("_last"), F.min("q_end").alias("_first"))
+    w = Window.partitionBy("chain").orderBy("blk")
+    gap = F.when(c("codirected"), F.struct(c("q_end").alias("s"), F.lead("q_start").over(w).alias("e"))).otherwise(F.struct(F.lead("q_end").over(w).alias("s"), c("q_start").alias("e")))
+    gaps = blocks.select("chain", "chrom", c("b_end").alias("g_start"), F.lead("b_start").over(w).alias("g_end"), gap.alias("g")).filter("g_end > g_start")
+    key = ["tx", "exon", "chain"]
+    block = F.struct("b_start", "b_end", "q_start", "q_end")
+    shared = overlap(c("e_start"), c("e_end"), c("b_start"), c("b_end"))
+    met = interval_join(exons, blocks, ["chrom"], ("e_start", "e_end"), ("b_start", "b_end")).groupBy(*key).agg(F.min(block).alias("up"), F.max(block).alias("down"), F.sum(shared).alias("covered"), F.first("codirected").alias("codirected"))
+    inside = interval_join(exons, gaps, ["chrom"], ("e_start", "e_end"), ("g_start", "g_end"), 65536).filter("g_start <= e_start AND e_end <= g_end").select(*key, "g")
+    rows = exons.join(pairs.select("tx", "chain"), "tx").join(chains, ["chain", "chrom"]).join(met, key, "left").join(inside, key, "left")
+    low = F.when(c("codirected"), c("up.q_start") + c("e_start") - c("up.b_start")).otherwise(c("down.q_end") - c("e_end") + c("down.b_start"))
+    high = F.when(c("codirected"), c("down.q_start") + c("e_end") - c("down.b_start")).otherwise(c("up.q_end") - c("e_start") + c("up.b_start"))
+    rows = rows.withColumns({"_lo": F.greatest(low, F.lit(0)), "_hi": F.greatest(high, F.lit(0)), "_n": c("e_end") - c("e_start"), "_gap": c("g.e") - c("g.s")})
+    far = (c("up") != c("down")) & ((c("up.b_start") - c("e_start") > most_trim) | (c("e_end") - c("down.b_end") > most_trim))
+    state = (
+        F.when(c("up").isNotNull(), F.when(far | (c("_lo") >= c("_hi")), "missing").otherwise("mapped"))
+        .when((c("e_end") < c("c_start")) | (c("e_start") > c("c_end")), "out")
+        .when((c("_gap") >= c("_n")) & (c("_gap") <= most_gap), "gap")
+        .otherwise("missing")
+    )
+    size, wide = F.floor(c("_n") * 11 / 10), c("_hi") - c("_lo") >= c("_n") * 5
+    at_start = (c("_last") <= c("_hi")) & (c("_first") < c("_lo"))
+    start = F.when(wide & ~at_start, F.greatest(F.lit(0), c("_hi") - size)).otherwise(c("_lo"))
+    end = F.when(wide & at_start, c("_lo") + size).otherwise(c("_hi"))
+    pick = lambda mapped, g: F.when(c("state") == "mapped", mapped).when(c("state") == "gap", g)
+    return rows.withColumn("state", state).select(*key, "state", pick(start, c("g.s")).alias("q_start"), pick(end, c("g.e")).alias("q_end"), F.coalesce("covered", F.lit(0)).alias("covered"))

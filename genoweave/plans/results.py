@@ -33,14 +33,14 @@ def _columns(exprs: dict[str, str]) -> str:
 # blocks with a query range; a third of the chains run against the reference
 _RANGE = {"q_start": "CASE WHEN chain % 3 > 0 THEN q_low ELSE 90000000 - q_low - (b_end - b_start) END", "q_end": "CASE WHEN chain % 3 > 0 THEN q_low + (b_end - b_start) ELSE 90000000 - q_low END", "codirected": "chain % 3 > 0"}
 _ALIGNED = f"""{X.BLOCKS}, ql AS (SELECT *, CAST(sum(b_end - b_start + (blk * 17) % 300) OVER (PARTITION BY chain ORDER BY blk) AS BIGINT) - (b_end - b_start) - (blk * 17) % 300 AS q_low FROM blocks),
-aligned AS (SELECT chain, chrom, b_start, b_end, {_columns(_RANGE)} FROM ql)"""
+aligned AS (SELECT chain, chrom, blk, b_start, b_end, {_columns(_RANGE)} FROM ql)"""
 _AT = "CASE WHEN codirected THEN q_start + {0} - b_start ELSE q_end - {0} + b_start END"
 
 
 def _aligned(spark, d):
     step = F.expr("b_end - b_start + (blk * 17) % 300")
     low = F.sum(step).over(Window.partitionBy("chain").orderBy("blk").rowsBetween(Window.unboundedPreceding, 0)) - step
-    return X.blocks(spark, d).withColumn("q_low", low).selectExpr("chain", "chrom", "b_start", "b_end", *[f"{e} AS {c}" for c, e in _RANGE.items()])
+    return X.blocks(spark, d).withColumn("q_low", low).selectExpr("chain", "chrom", "blk", "b_start", "b_end", *[f"{e} AS {c}" for c, e in _RANGE.items()])
 
 
 @_register(f"""WITH {X.EXONS}, {_ALIGNED}, ts AS (SELECT tx, chrom, min(e_start) AS k_start, max(e_end) AS k_end FROM exons GROUP BY tx, chrom),
@@ -53,7 +53,26 @@ def subchain_slices(spark, d):
     return C.subchains(regions, _aligned(spark, d))
 
 
-_ENDS = f"""h AS (SELECT tx, chain, greatest(e_start, b_start) AS lo, least(e_end, b_end) AS hi, b.* EXCLUDE (chain, chrom) FROM exons e JOIN aligned b ON e.chrom = b.chrom AND e_start < b_end AND b_start < e_end),
+@_register(f"""WITH {X.EXONS}, {_ALIGNED}, {X.SPANS}, pairs AS (SELECT chain, tx FROM cs JOIN ts ON cs.chrom = ts.chrom AND c_start < t_end AND t_start < c_end),
+e AS (SELECT tx, chrom, exon, min(e_start) AS e_start, max(e_end) AS e_end FROM exons GROUP BY tx, chrom, exon),
+z AS (SELECT chain, min(b_start) AS c_start, max(b_end) AS c_end, max(q_start) AS last, min(q_end) AS first FROM aligned GROUP BY chain),
+m AS (SELECT tx, exon, chain, sum(least(e_end, b_end) - greatest(e_start, b_start)) AS covered, bool_or(codirected) AS fwd, count(*) AS n, min(b_start) AS up, max(b_end) AS down_end, min_by(q_start, b_start) AS uqs, min_by(q_end, b_start) AS uqe, max(b_start) AS down, max_by(q_start, b_start) AS dqs, max_by(q_end, b_start) AS dqe
+  FROM e JOIN aligned b ON e.chrom = b.chrom AND e_start < b_end AND b_start < e_end GROUP BY tx, exon, chain),
+gq AS (SELECT chain, chrom, b_end AS g_start, lead(b_start) OVER w AS g_end, CASE WHEN codirected THEN q_end ELSE lead(q_end) OVER w END AS gs, CASE WHEN codirected THEN lead(q_start) OVER w ELSE q_start END AS ge FROM aligned WINDOW w AS (PARTITION BY chain ORDER BY blk)),
+i AS (SELECT tx, exon, chain, gs, ge FROM e JOIN gq ON e.chrom = gq.chrom AND g_start <= e_start AND e_end <= g_end AND e_start < e_end),
+r AS (SELECT e.tx, e.exon, pairs.chain, e_start, e_end, e_end - e_start AS len, c_start, c_end, last, first, n, covered, gs, ge, up, down_end, greatest(0, CASE WHEN fwd THEN uqs + e_start - up ELSE dqe - e_end + down END) AS lo, greatest(0, CASE WHEN fwd THEN dqs + e_end - down ELSE uqe - e_start + up END) AS hi
+  FROM e JOIN pairs USING (tx) JOIN z ON z.chain = pairs.chain LEFT JOIN m ON m.tx = e.tx AND m.exon = e.exon AND m.chain = pairs.chain LEFT JOIN i ON i.tx = e.tx AND i.exon = e.exon AND i.chain = pairs.chain),
+s AS (SELECT *, CASE WHEN n > 0 THEN CASE WHEN (n > 1 AND (up - e_start > 2000 OR e_end - down_end > 2000)) OR lo >= hi THEN 'missing' ELSE 'mapped' END WHEN e_end < c_start OR e_start > c_end THEN 'out' WHEN ge - gs BETWEEN len AND 1000000 THEN 'gap' ELSE 'missing' END AS state,
+  hi - lo >= 5 * len AS wide, last <= hi AND first < lo AS at_start FROM r)
+SELECT tx, exon, chain, state, CASE state WHEN 'mapped' THEN CASE WHEN wide AND NOT at_start THEN greatest(0, hi - len * 11 // 10) ELSE lo END WHEN 'gap' THEN gs END AS q_start,
+  CASE state WHEN 'mapped' THEN CASE WHEN wide AND at_start THEN lo + len * 11 // 10 ELSE hi END WHEN 'gap' THEN ge END AS q_end, CAST(coalesce(covered, 0) AS BIGINT) AS covered FROM s""")
+def exon_mapping(spark, d):
+    exons, blocks = X.exons(spark, d), _aligned(spark, d)
+    whole = exons.groupBy("tx", "chrom", "exon").agg(F.min("e_start").alias("e_start"), F.max("e_end").alias("e_end"))
+    return C.map_exons(whole, C.chain_transcript_pairs(exons, blocks.select("chain", "chrom", "b_start", "b_end")), blocks)
+
+
+_ENDS = f"""h AS (SELECT tx, chain, greatest(e_start, b_start) AS lo, least(e_end, b_end) AS hi, b.* EXCLUDE (chain, chrom, blk) FROM exons e JOIN aligned b ON e.chrom = b.chrom AND e_start < b_end AND b_start < e_end),
 ends AS (SELECT tx, chain, min(lo) AS t_lo, max(hi) AS t_hi, min_by({_AT.format('lo')}, lo) AS a, max_by({_AT.format('hi')}, hi) AS b FROM h GROUP BY tx, chain)"""
 
 

@@ -86,3 +86,16 @@ def test_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_exons_are_mapped_through_blocks_and_gaps(spark):
+    forward = [(1, "c", 1, 100, 200, 1000, 1100, True), (1, "c", 2, 300, 400, 1250, 1350, True), (1, "c", 3, 9000, 9100, 1360, 1460, True)]
+    back = [(2, "c", b, s, e, 5000 - qe, 5000 - qs, False) for _, _, b, s, e, qs, qe, _ in forward]
+    blocks = spark.createDataFrame(forward + back, "chain long, chrom string, blk long, b_start long, b_end long, q_start long, q_end long, codirected boolean")
+    exons = spark.createDataFrame([("t", "c", 1, 150, 190), ("t", "c", 2, 190, 310), ("t", "c", 3, 220, 280), ("t", "c", 4, 500, 600), ("t", "c", 5, 10_000, 10_050), ("t", "c", 6, 90, 110)], "tx string, chrom string, exon long, e_start long, e_end long")
+    want = {(1, "mapped", 1050, 1090, 40), (2, "mapped", 1090, 1260, 20), (3, "gap", 1100, 1250, 0), (4, "missing", None, None, 0), (5, "out", None, None, 0), (6, "mapped", 990, 1010, 10)}
+    pairs = spark.createDataFrame([("t", 1), ("t", 2)], "tx string, chain long")
+    got = C.map_exons(exons, pairs, blocks)
+    assert rows(got.filter("chain = 1").drop("tx", "chain")) == want
+    assert rows(got.filter("chain = 2").drop("tx", "chain")) == {(x, s, a and 5000 - b, b and 5000 - a, n) for x, s, a, b, n in want}
+    assert C.map_exons(exons, pairs.limit(0), blocks).count() == 0
