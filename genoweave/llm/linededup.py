@@ -21,29 +21,33 @@ def line_key(line: Column) -> Column:
 
 
 class LineRuns:
-    """Sorted runs (h1, h2, n_docs, keep), each a table bucketed and sorted by the hash.
+    """Sorted runs (h1, h2, n_docs, keep), each a table bucketed by both hashes and sorted.
 
-    All runs have the same buckets, so a batch meets a run in a merge join without a shuffle of the
-    run. ``add`` drops the keys that one run already counts ``min_docs`` times (their outcome is
+    All runs have as many buckets as a shuffle has partitions, so a batch or a run meets a run in a
+    merge join that shuffles no run; Spark sorts each bucket again, as it doesn't rely on the order
+    of files. ``add`` drops the keys that one run already counts ``min_docs`` times (their outcome is
     settled if batches come in descending id order) and writes the rest as a run of level 0;
-    ``FANOUT`` runs of a level are merged into one of the next, counts added.
+    ``FANOUT`` runs of a level are merged into one of the next, counts added, and leave the catalogue.
     """
 
     def __init__(self, spark: SparkSession, buckets: int, min_docs: int = MIN_DOCS):
         self.spark, self.buckets, self.min_docs = spark, buckets, min_docs
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, keys: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
-        # the same hash and number as the buckets: one file each
-        sized = keys.repartition(self.buckets, "h1")
-        sized.write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", shared_path(self.spark, name)).saveAsTable(name)
+        # rows come from an aggregate or a join by both hashes: a task holds whole buckets, one file each
+        self.paths[name] = shared_path(self.spark, name)
+        keys.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", self.paths[name]).saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
         if len(self.levels[level]) >= FANOUT:
             merged, self.levels[level] = self.levels[level], []
             self._write(self._merge(merged), level + 1)
+            for old in merged:
+                self.spark.sql(f"DROP TABLE {old}")
 
     def _merge(self, names: list[str]) -> DataFrame:
         """A merge of sorted runs: full outer merge joins, bucket by bucket."""
@@ -66,8 +70,12 @@ class LineRuns:
         self._write(keys, 0)
 
     def totals(self) -> DataFrame:
+        """All keys. One run is read as plain files: a join of every document's keys with it must stay
+        a shuffle of both sides, as only then AQE splits a key that many documents hold."""
         names = [x for level in self.levels for x in level]
-        return self._merge(names) if len(names) > 1 else self.spark.table(names[0])
+        if len(names) > 1:
+            return self._merge(names)
+        return self.spark.read.schema(self.spark.table(names[0]).schema).parquet(self.paths[names[0]])
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
