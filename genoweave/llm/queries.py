@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches, substrings
+from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches, substrings, variants
 
 QUERIES = {
     "op1_fingerprints": sketches.op1_fingerprints,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontaminate.SQL,
     "op5_line_dedup": linededup.SQL,
     "op9_licenses": licenses.SQL,
     "op10_sharding": sharding.SQL,
+    "op13_spelling_variants": variants.SQL,
 }
