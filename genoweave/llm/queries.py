@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoweave.llm import decontaminate, langid, licenses, linededup, packing, secrets, sharding, simhash, sketches, substrings, variants
+from genoweave.llm import decontaminate, langid, licenses, linededup, negatives, packing, secrets, sharding, simhash, sketches, substrings, variants
 
 QUERIES = {
     "op1_fingerprints": sketches.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op13_spelling_variants": variants.op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {
@@ -22,5 +23,6 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": linededup.SQL,
     "op9_licenses": licenses.SQL,
     "op10_sharding": sharding.SQL,
+    "op11_hard_negatives": negatives.SQL,
     "op13_spelling_variants": variants.SQL,
 }
