@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoweave.llm import decontaminate, langid, licenses, linededup, negatives, packing, secrets, sharding, simhash, sketches, substrings, variants
+from genoweave.llm import chat, decontaminate, langid, licenses, linededup, negatives, packing, secrets, sharding, simhash, sketches, substrings, variants
 
 QUERIES = {
     "op1_fingerprints": sketches.op1_fingerprints,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
     "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_chat_formatting": chat.op12_chat_formatting,
     "op13_spelling_variants": variants.op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {
@@ -24,5 +25,6 @@ ORACLES: dict[str, str] = {
     "op9_licenses": licenses.SQL,
     "op10_sharding": sharding.SQL,
     "op11_hard_negatives": negatives.SQL,
+    "op12_chat_formatting": chat.SQL,
     "op13_spelling_variants": variants.SQL,
 }
