@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.session import checkpointed
+from genoweave.session import discard, written
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
@@ -18,11 +18,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Returns (vertex, root), roots included. Each round links every vertex's larger neighbours to
     its least neighbour (large star), then every vertex's smaller ones (small star); a round is two
     aggregations with map-side combine and two equi-joins, so a hub vertex is never gathered in one
-    task, and the number of rounds grows with the logarithm of the diameter. Self loops and null
-    ends are ignored; an empty table gives an empty result.
+    task, and the number of rounds grows with the logarithm of the diameter. A round is one written
+    table, which replaces the one before. Rounds end when all edges point from a vertex to a root, which
+    is so when edges and roots together are as many as vertices. Self loops and null ends are ignored;
+    an empty table gives an empty result.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    e = checkpointed(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    e = written(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
+    vertices = e.select(F.explode(F.array("a", "b")).alias("v")).distinct().count()
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least_neighbour(both).select("a", F.least("a", "m").alias("m"))
@@ -36,9 +39,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .filter("a <> b")
             .distinct()
         )
-        e = checkpointed(small)
-        counts = e.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
-        if counts["n"] == counts["d"] and e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+        after = written(small, "components")
+        discard(e)
+        e = after
+        found = e.agg(F.count("*").alias("n"), F.countDistinct("b").alias("roots")).first()
+        if found["n"] + found["roots"] == vertices:
             break
     leaves = e.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     return leaves.unionByName(leaves.select(F.col("root").alias("vertex"), "root").distinct())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genoweave.functions import sequence as S
-from genoweave.operators import splice_hmm
+from genoweave.operators import blocks, splice_hmm, trees
 from genoweave.plans import fixtures as X
 from genoweave.session import partitions
 
@@ -31,3 +31,83 @@ def codon_hmm(spark, d):
     rows = loci.select(F.concat_ws(":", "doc_id", "i").alias("locus_id"), "locus", F.expr(exons).alias("exons"))
     # aligning costs far more than moving a locus, and a file of texts may be a single task
     return splice_hmm.align_exons(rows.repartition(4 * partitions(spark), "locus_id"), "locus_id", band=16)
+
+
+# every vertex x is taken out in turn: what a first neighbour of x still reaches, against all of x's component
+CUT = f"""{X.EDGES}, {X.COMPONENTS},
+near AS (SELECT a AS x, min(b) AS first FROM u GROUP BY a),
+walk(x, v) AS (SELECT x, first FROM near UNION SELECT walk.x, u.b FROM walk JOIN u ON walk.v = u.a WHERE u.b <> walk.x),
+size AS (SELECT comp, count(*) AS n FROM comp GROUP BY comp),
+met AS (SELECT x, count(*) AS n FROM walk GROUP BY x),
+cut AS (SELECT met.x AS vertex FROM met JOIN comp ON met.x = comp.node JOIN size ON comp.comp = size.comp WHERE met.n < size.n - 1)"""
+
+
+@_register(f"WITH RECURSIVE {CUT} SELECT vertex FROM cut")
+def articulation_points(spark, d):
+    return blocks.articulation_points(X.edges(spark, d), "r", "q").select("vertex")
+
+
+@_register(f"""WITH RECURSIVE {CUT},
+rest AS (SELECT a, b FROM u WHERE a NOT IN (SELECT vertex FROM cut) AND b NOT IN (SELECT vertex FROM cut)),
+way(a, b) AS (SELECT node, node FROM comp WHERE node NOT IN (SELECT vertex FROM cut) UNION SELECT way.a, rest.b FROM way JOIN rest ON way.b = rest.a),
+again AS (SELECT a AS node, min(b) AS root FROM way GROUP BY a)
+SELECT node AS vertex, again.root IS NULL AS chimeric, again.root AS root FROM comp LEFT JOIN again USING (node)""")
+def chimera_split(spark, d):
+    return blocks.split_chimeras(X.edges(spark, d), "r", "q")
+
+
+# a tree for every order: lines join in pairs, pairs one after the other; parts name the species, sizes the support
+def _gene_trees(spark, d):
+    leaf = "concat(CASE WHEN l_partkey % 2 = 0 THEN '#R#' ELSE '' END, 'g', l_partkey % 40, '#', l_linenumber)"
+    lines = X.table(spark, d, "lineitem").selectExpr("l_orderkey AS tree", f"struct(l_linenumber AS i, {leaf} AS leaf, CAST(50 + l_quantity AS INT) AS support) AS x")
+    grouped = lines.groupBy("tree").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    pairs = """transform(sequence(0, (size(x) - 1) div 2), i -> CASE WHEN 2 * i + 1 < size(x)
+      THEN concat('(', x[2 * i].leaf, ':1,', x[2 * i + 1].leaf, ':1)', x[2 * i].support) ELSE x[2 * i].leaf END)"""
+    joined = "aggregate(slice(p, 2, greatest(size(p) - 1, 0)), p[0], (a, b) -> concat('(', a, ':1,', b, ':1)', x[0].support))"
+    return grouped.selectExpr("tree", "x", f"{pairs} AS p").selectExpr("tree", f"concat({joined}, ';') AS newick")
+
+
+_LEAVES = """leaves AS (SELECT l_orderkey AS tree, l_linenumber AS i, l_partkey % 2 = 0 AS ref, CAST(50 + l_quantity AS INTEGER) AS support,
+  CASE WHEN l_partkey % 2 = 0 THEN '#R#' ELSE '' END || 'g' || CAST(l_partkey % 40 AS VARCHAR) || '#' || CAST(l_linenumber AS VARCHAR) AS leaf FROM lineitem),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY i, leaf, support) - 1 AS k, first_value(support) OVER (PARTITION BY tree ORDER BY i, leaf, support) AS top FROM leaves),
+cherries AS (SELECT tree, k // 2 AS pair, count(*) AS n, min(top) AS top, arg_min(support, k) AS support, arg_min(leaf, k) AS a, arg_max(leaf, k) AS b,
+  CASE WHEN count(*) = 1 THEN CASE WHEN bool_or(ref) THEN 'R' ELSE 'Q' END WHEN bool_and(ref) THEN 'Dr' WHEN bool_or(ref) THEN 'S' ELSE 'Dq' END AS label FROM ranked GROUP BY tree, k // 2),
+joined(tree, pair, label) AS (SELECT tree, pair, label FROM cherries WHERE pair = 0
+  UNION ALL SELECT c.tree, c.pair, CASE WHEN j.label IN ('D', 'P') OR c.label IN ('D', 'P') THEN 'D' WHEN j.label = 'S' AND c.label = 'S' THEN 'S' WHEN j.label = 'S' OR c.label = 'S' THEN
+    'P' WHEN j.label || c.label IN ('RQ', 'QR') THEN 'S' WHEN j.label IN ('R', 'Dr') AND c.label IN ('R', 'Dr') THEN 'Dr' WHEN j.label IN ('Q', 'Dq') AND c.label IN ('Q', 'Dq') THEN 'Dq' ELSE 'D' END
+  FROM joined j JOIN cherries c ON j.tree = c.tree AND c.pair = j.pair + 1)"""
+
+
+@_register(f"""WITH RECURSIVE {_LEAVES},
+every AS (SELECT tree, CASE WHEN ref THEN 'R' ELSE 'Q' END AS label FROM ranked UNION ALL SELECT tree, label FROM cherries WHERE n = 2 UNION ALL SELECT tree, label FROM joined WHERE pair > 0)
+SELECT tree, label, count(*) AS n FROM every GROUP BY tree, label""")
+def tree_labels(spark, d):
+    return trees.label_nodes(_gene_trees(spark, d), "tree").groupBy("tree", "label").agg(F.count("*").alias("n"))
+
+
+@_register(f"""WITH RECURSIVE {_LEAVES},
+size AS (SELECT tree, count(*) AS n_pairs, sum(n) AS n_leaves, min(top) AS top FROM cherries GROUP BY tree),
+marks AS (SELECT j.tree, j.pair, j.label, s.n_pairs, s.n_leaves, s.top FROM joined j JOIN size s USING (tree)),
+s_nodes AS (SELECT tree, sum(CAST(x AS INTEGER)) AS n, bool_or(weak) AS weak FROM (SELECT tree, label = 'S' AS x, support < 80 AS weak FROM cherries WHERE n = 2
+  UNION ALL SELECT tree, label = 'S', top < 80 FROM marks WHERE pair > 0) z GROUP BY tree),
+sound AS (SELECT c.tree, c.pair, c.a, c.b FROM cherries c JOIN size s USING (tree) JOIN s_nodes n USING (tree)
+  WHERE c.n = 2 AND c.label = 'S' AND c.support >= 80 AND s.n_pairs > 1 AND NOT (s.n_leaves = 4 AND n.n = 3 AND n.weak)
+  AND NOT EXISTS (SELECT 1 FROM marks m WHERE m.tree = c.tree AND m.pair >= c.pair AND m.pair > 0 AND m.pair < s.n_pairs - 1 AND (m.label = 'P' OR m.top < 80))),
+named AS (SELECT tree, CASE WHEN a LIKE '#R#%' THEN a ELSE b END AS reference, CASE WHEN a LIKE '#R#%' THEN b ELSE a END AS query FROM sound)
+SELECT tree, reference, query FROM named QUALIFY count(*) OVER (PARTITION BY tree, split_part(query, '#', 1)) = 1""")
+def tree_pairs(spark, d):
+    return trees.tree_pairs(_gene_trees(spark, d), "tree", 80)
+
+
+@_register(f"""WITH RECURSIVE {X.EDGES}, {X.COMPONENTS}
+SELECT comp AS clique, node AS member FROM comp WHERE comp IN (SELECT c.comp FROM edges e JOIN comp c ON e.r = c.node WHERE e.weight < 20)""")
+def restored_cliques(spark, d):
+    edges = X.edges(spark, d)
+    return trees.restored_cliques(edges, edges.filter("weight < 20").select(F.col("r").alias("gene")))
+
+
+@_register(f"""WITH {X.EDGES}, sure AS (SELECT r, q FROM edges WHERE weight >= 900)
+SELECT r, q, true AS settled FROM sure UNION ALL SELECT r, q, false FROM edges WHERE r NOT IN (SELECT r FROM sure) AND q NOT IN (SELECT q FROM sure)""")
+def settled_pairs(spark, d):
+    edges = X.edges(spark, d)
+    return trees.settle_pairs(edges, edges.filter("weight >= 900").selectExpr("r AS reference", "q AS query"))

@@ -57,7 +57,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage with a written table in the shared folder; smaller than a checkpoint."""
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``written`` made and nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
