@@ -17,6 +17,7 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
+STRETCH = 8  # longest steps in a stretch of a text, the places of which are compared with each other
 BROADCAST_ROWS = 20_000  # rows of the template tables (under 10 KB each) up to which they are broadcast
 
 # Short public notices, or the first sentence of long ones.
@@ -66,13 +67,16 @@ def _small(df: DataFrame) -> DataFrame:
 def candidates(parsed: DataFrame, templates: DataFrame, positional: bool = True) -> DataFrame:
     """(rid, label, block, need, n, wanted, has, ..): the blocks that may hold enough of a template.
 
-    parsed: (rid, seen), where ``seen`` lists (token, i), the places of template tokens. Exact:
+    parsed: (rid, stretches), where each stretch lists in ``seen`` the places (token, i) of template
+    tokens from its first word until two of the longest steps behind its last, so that every block
+    lies in the stretch that it begins in, and a place is compared with a stretch, never with the text. Exact:
     tokens are ordered by the number of documents that hold them, the rarest first. A block with
     ``need`` of a template's n tokens shares one of its first n - need + 1 (prefix filter), holds
     ``need`` template tokens (length filter), and after the first shared token both block and
     template have enough tokens left in that order (positional filter).
     """
-    counted = parsed.select(F.explode(F.array_distinct(F.col("seen.token"))).alias("token")).groupBy("token").count()
+    tokens = F.array_distinct(F.flatten(F.transform("stretches", lambda x: x["seen"]["token"])))
+    counted = parsed.select(F.explode(tokens).alias("token")).groupBy("token").count()
     order = Window.partitionBy("label").orderBy(F.coalesce("count", F.lit(0)), "token")
     ranked = templates.select("label", "step", "need", F.size("tokens").alias("n"), F.explode("tokens").alias("token")).join(counted, "token", "left")
     ranked = ranked.withColumn("p", F.row_number().over(order) - 1).withColumn("key", F.struct(F.coalesce("count", F.lit(0)).alias("f"), F.col("token").alias("t")))
@@ -80,9 +84,11 @@ def candidates(parsed: DataFrame, templates: DataFrame, positional: bool = True)
     probe = _small(checkpointed(ranked.filter("p <= n - need").join(wanted, "label").select("label", "step", "need", "n", "token", "wanted")))
     frequency = _small(checkpointed(counted.withColumnRenamed("count", "f")))
     # only what lies near a rare token of a template is looked at
-    at = parsed.select("rid", "seen", F.explode("seen").alias("e")).select("rid", "seen", "e.token", "e.i").join(probe, "token")
+    near = parsed.select("rid", F.explode("stretches").alias("x")).select("rid", "x.start", "x.stop", "x.seen", F.explode("x.seen").alias("e"))
+    at = near.select("rid", "start", "stop", "seen", "e.token", "e.i").join(probe, "token")
     first = F.floor(F.col("i") / F.col("step"))
-    blocks = at.withColumn("block", F.explode(F.array(first, F.greatest(first - 1, F.lit(0)))))
+    blocks = at.withColumn("block", F.explode(F.array_distinct(F.array(first, F.greatest(first - 1, F.lit(0))))))
+    blocks = blocks.filter((F.col("block") * F.col("step") >= F.col("start")) & (F.col("block") * F.col("step") < F.col("stop")))
     inside = F.filter("seen", lambda x: (x["i"] >= F.col("block") * F.col("step")) & (x["i"] < (F.col("block") + 2) * F.col("step")))
     held = blocks.select("rid", "label", "need", "n", "wanted", "block", F.array_distinct(F.transform(inside, lambda x: x["token"])).alias("tokens"))
     held = held.filter(F.size("tokens") >= F.col("need")).dropDuplicates(["rid", "label", "block"])
@@ -104,11 +110,15 @@ def matching_blocks(parsed: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def parse(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, own, n_words, p0 .., seen), in one scan: number of words, places of each phrase, places of template tokens.
+    """(rid, own, n_words, p0 .., stretches), in one scan: number of words, places of each phrase, places of template tokens.
 
-    The result is a written table, a row for each row of ``docs``; rid numbers them.
+    The result is a written table, a row for each row of ``docs``; rid numbers them. Places come in
+    stretches (start, stop, seen) of ``STRETCH`` times the longest step, see ``candidates``.
     """
-    vocabulary = sorted({t for r in templates.select("tokens").collect() for t in r["tokens"]})
+    known = templates.select("tokens", "step").collect()
+    vocabulary = sorted({t for r in known for t in r["tokens"]})
+    widest = max((r["step"] for r in known), default=1)
+    size = STRETCH * widest
     rows = docs.select(F.col(id_col).alias("own"), spaced(F.coalesce(F.col(text_col), F.lit(""))).alias("s"))
     none = F.array().cast("array<int>")
 
@@ -118,10 +128,16 @@ def parse(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_co
         here = lambda i: F.forall(F.array(*[F.element_at("w", i + j) == p for j, p in enumerate(parts)]), lambda x: x)
         return F.when(F.contains("s", F.lit(f" {phrase} ")), F.filter(at, here)).otherwise(none)
 
-    places_of = F.transform("w", lambda x, i: F.struct(x.alias("token"), i.alias("i")))
-    seen = F.filter(places_of, lambda x: x["token"].isin(vocabulary) if vocabulary else F.lit(False))
+    def stretch(k: Column) -> Column:
+        words = F.slice("w", k * size + 1, F.lit(size + 2 * widest))
+        places_of = F.transform(words, lambda x, i: F.struct(x.alias("token"), (k * size + i).alias("i")))
+        seen = F.filter(places_of, lambda x: x["token"].isin(vocabulary) if vocabulary else F.lit(False))
+        return F.struct((k * size).alias("start"), ((k + 1) * size).alias("stop"), seen.alias("seen"))
+
+    last = F.greatest(F.ceil(F.size("w") / size).cast("int") - 1, F.lit(0))
+    stretches = F.filter(F.transform(F.sequence(F.lit(0), last), stretch), lambda x: F.size(x["seen"]) > 0)
     out = rows.select("own", "s", _words(F.col("s")).alias("w")).select(
-        F.monotonically_increasing_id().alias("rid"), "own", F.size("w").cast("bigint").alias("n_words"), *[places(p).alias(f"p{i}") for i, p in enumerate(PHRASES)], seen.alias("seen")
+        F.monotonically_increasing_id().alias("rid"), "own", F.size("w").cast("bigint").alias("n_words"), *[places(p).alias(f"p{i}") for i, p in enumerate(PHRASES)], stretches.alias("stretches")
     )
     return written(out, "license-words")
 
@@ -147,7 +163,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         (F.array_max(at) - 1).cast("bigint").alias("last_word"),
         F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())])))).alias("base"),
     )
-    found = matching_blocks(parsed.select("rid", "seen"), known)
+    found = matching_blocks(parsed.select("rid", "stretches"), known)
     found = found.groupBy("rid").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     return base.join(found, "rid", "left").select(
         F.col("own").alias(id_col),

@@ -1,6 +1,8 @@
 """Notices that are wrapped, commented or embedded, and the filters of the set join."""
 
+import random
 import textwrap
+import time
 
 import pytest
 
@@ -53,3 +55,20 @@ def test_many_templates_need_no_broadcast(spark, monkeypatch):
     monkeypatch.setattr(licenses, "BROADCAST_ROWS", 0)
     many = {f"l{i}": f"n{i} of m{i} and k{i} too" for i in range(300)}
     assert labels(spark, ["so n7 of m7\nand k7 too", "nothing"], templates=many) == [["l7"], [""]]
+
+
+def test_long_texts_of_template_words(spark):
+    """Work grows with the words: a text of 30,000 template words, each near hundreds of others, and a notice at its end."""
+    rng = random.Random(4)
+    words = sorted({w for t in licenses.TEMPLATES.values() for w in t.split()})
+    dense = [" ".join(rng.choice(words) for _ in range(n)) for n in (2_000, 30_000)]
+    took = []
+    for text in dense:
+        began = time.time()
+        got = labels(spark, [text + " . " + licenses.TEMPLATES["bsd"]])
+        took.append(time.time() - began)
+        assert "bsd" in got[0]
+    assert took[1] < 15 * took[0] + 30
+    # whatever stretch a notice begins in, and wherever in it
+    lone = [" ".join(["filler"] * n) + " " + licenses.TEMPLATES["gpl-2"] for n in (0, 1, 31, 32, 200, 223, 224, 225, 255, 256, 257, 511)]
+    assert all(x == ["gpl-2"] for x in labels(spark, lone))
