@@ -110,6 +110,24 @@ def repeated_lines(
     return keys.join(gone, ["h1", "h2"]).filter(~F.col("id").eqNullSafe(F.col("keep"))).select("id", "h1", "h2")
 
 
+def _bucket(h: Column, n: Column) -> Column:
+    """Which of n equal parts of the signed 64-bit numbers holds ``h``."""
+    return F.least(F.floor((h / F.lit(float(1 << 64)) + 0.5) * n).cast("int"), n - 1)
+
+
+def _looked_up(lost: DataFrame) -> DataFrame:
+    """lost (id, h1, h2) -> (id, lost, starts): a document's keys in order, and where those of each bucket begin.
+
+    As hashes fall evenly into as many buckets as there are keys, a line meets a few keys only, and a
+    text's lines take time in proportion to their number.
+    """
+    rows = lost.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("h1", "h2"))).alias("lost"))
+    n = F.size("lost")
+    of = lambda i: F.when(i < 0, -1).otherwise(_bucket(F.get("lost", i)["h1"], n))
+    firsts = F.flatten(F.transform("lost", lambda x, i: F.array_repeat(i + 1, of(i) - of(i - 1))))
+    return rows.select("id", "lost", F.concat(firsts, F.array_repeat(n + 1, n - of(n - 1))).alias("starts"))
+
+
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None, **limits) -> DataFrame:
     """(id, kept text, n_lines, n_dropped): each text without its repeated lines.
 
@@ -121,18 +139,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``carry``, which comes out as ``carried``, row by row.
     """
     min_chars = limits.get("min_chars", MIN_CHARS)
-    lost = repeated_lines(docs, id_col, text_col, **limits).groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
+    lost = _looked_up(repeated_lines(docs, id_col, text_col, **limits))
     rows = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), *([] if carry is None else [carry.alias("carried")]))
     joined = rows.join(lost.hint("shuffle_hash"), F.col("own").eqNullSafe(F.col("id")), "left").drop("id")
 
-    def stays(line: Column) -> Column:
+    def stays(x: Column) -> Column:
+        at = _bucket(x["h1"], F.size("lost"))
+        here = F.slice("lost", F.element_at("starts", at + 1), F.element_at("starts", at + 2) - F.element_at("starts", at + 1))
+        return (F.char_length(x["line"]) < min_chars) | ~F.array_contains(here, F.struct(x["h1"].alias("h1"), x["h2"].alias("h2")))
+
+    def hashed(line: Column) -> Column:
         h1, h2 = hash128(line_key(line))
-        short = F.char_length(line) < min_chars
-        return short | ~F.array_contains("lost", F.struct(h1.alias("h1"), h2.alias("h2")))
+        return F.struct(line.alias("line"), h1.alias("h1"), h2.alias("h2"))
 
     lines = F.split("body", "\n", -1)
     some = F.col("lost").isNotNull()
-    kept = F.when(some, F.filter(lines, stays))
+    kept = F.when(some, F.transform(F.filter(F.transform(lines, hashed), stays), lambda x: x["line"]))
     parts = joined.withColumn("kept", kept).withColumn("n_lines", F.size(lines).cast("bigint"))
     return parts.select(
         F.col("own").alias(id_col),
