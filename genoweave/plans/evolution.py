@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genoweave.functions import sequence as S
-from genoweave.operators import blocks, splice_hmm, trees
+from genoweave.operators import blocks, grouping, splice_hmm, trees
 from genoweave.plans import fixtures as X
 from genoweave.session import partitions
 
@@ -111,3 +111,36 @@ SELECT r, q, true AS settled FROM sure UNION ALL SELECT r, q, false FROM edges W
 def settled_pairs(spark, d):
     edges = X.edges(spark, d)
     return trees.settle_pairs(edges, edges.filter("weight >= 900").selectExpr("r AS reference", "q AS query"))
+
+
+_LOCI = """SELECT l_orderkey AS tx, l_orderkey % 7 AS chain, CAST(l_linenumber AS INT) AS exon, l_orderkey % 2 = 0 AS codirected,
+  CASE WHEN min(l_suppkey) % 3 > 0 THEN CASE WHEN l_orderkey % 2 = 0 THEN 500 + l_linenumber * 180 ELSE 2500 - l_linenumber * 180 END + min(l_partkey) % 150 END AS q_start,
+  CASE WHEN min(l_suppkey) % 3 > 0 THEN CASE WHEN l_orderkey % 2 = 0 THEN 500 + l_linenumber * 180 ELSE 2500 - l_linenumber * 180 END + min(l_partkey) % 150 + CAST(min(l_quantity) AS BIGINT) * 2 END AS q_end
+  FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+
+
+@_register(f"""WITH e AS ({_LOCI}),
+rows_ AS (SELECT *, greatest(q_start - CASE WHEN codirected THEN 50 ELSE 30 END, 0) AS s0, q_end + CASE WHEN codirected THEN 30 ELSE 50 END AS e0 FROM e),
+m AS (SELECT *, CASE WHEN s0 - max(e0) OVER (PARTITION BY tx, chain ORDER BY s0, e0, exon ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 10 THEN 0 ELSE 1 END AS new FROM rows_ WHERE q_start IS NOT NULL),
+i AS (SELECT *, sum(new) OVER (PARTITION BY tx, chain ORDER BY s0, e0, exon) AS island FROM m),
+t AS (SELECT *, CASE WHEN lag(e0) OVER w IS NULL THEN s0 ELSE least(q_start, greatest(s0, lag(e0) OVER w + 1)) END AS s_start,
+  CASE WHEN lead(s0) OVER w IS NULL THEN e0 ELSE greatest(q_end, least(e0, lead(s0) OVER w - 1)) END AS s_end FROM i WINDOW w AS (PARTITION BY tx, chain, island ORDER BY s0, e0, exon)),
+g AS (SELECT tx, chain, island, min(exon) AS low, max(exon) AS high, min(s_start) AS g_start, max(s_end) AS g_end FROM t GROUP BY tx, chain, island),
+joined AS (SELECT r.tx, r.chain, r.exon, g.low, g.g_start, g.g_end FROM rows_ r JOIN g ON r.tx = g.tx AND r.chain = g.chain AND g.low < r.exon AND r.exon < g.high WHERE r.q_start IS NULL
+  QUALIFY row_number() OVER (PARTITION BY r.tx, r.chain, r.exon ORDER BY CASE WHEN r.codirected THEN g.island ELSE -g.island END) = 1),
+alone AS (SELECT tx, chain, exon, codirected, exon - row_number() OVER (PARTITION BY tx, chain ORDER BY exon) AS run FROM rows_ r WHERE q_start IS NULL AND NOT EXISTS (SELECT 1 FROM joined j WHERE j.tx = r.tx AND j.chain = r.chain AND j.exon = r.exon)),
+runs AS (SELECT tx, chain, run, codirected, min(exon) AS a, max(exon) AS b FROM alone GROUP BY tx, chain, run, codirected),
+edge AS (SELECT tx, chain, min(exon) AS lo, max(exon) AS hi FROM e GROUP BY tx, chain),
+own AS (SELECT t.tx, t.chain, t.exon, g.low, g.g_start, g.g_end, t.s_start, t.s_end FROM t JOIN g USING (tx, chain, island)),
+beside AS (SELECT r.*, edge.lo, edge.hi, (SELECT arg_max(g_end, exon) FROM own o WHERE o.tx = r.tx AND o.chain = r.chain AND o.exon < r.a) AS p_end, (SELECT arg_max(g_start, exon) FROM own o WHERE o.tx = r.tx AND o.chain = r.chain AND o.exon < r.a) AS p_start,
+  (SELECT arg_min(g_end, exon) FROM own o WHERE o.tx = r.tx AND o.chain = r.chain AND o.exon > r.b) AS n_end, (SELECT arg_min(g_start, exon) FROM own o WHERE o.tx = r.tx AND o.chain = r.chain AND o.exon > r.b) AS n_start FROM runs r JOIN edge USING (tx, chain)),
+placed AS (SELECT *, CASE WHEN codirected THEN CASE WHEN a = lo THEN 0 ELSE p_end + 1 END ELSE CASE WHEN b = hi THEN 0 ELSE n_end + 1 END END AS g_start,
+  CASE WHEN codirected THEN CASE WHEN b = hi THEN 4000 ELSE n_start - 1 END ELSE CASE WHEN a = lo THEN 4000 ELSE p_start - 1 END END AS g_end FROM beside)
+SELECT tx, chain, exon, low AS first_exon, g_start, g_end, s_start, s_end FROM own
+UNION ALL SELECT tx, chain, exon, low, g_start, g_end, NULL, NULL FROM joined
+UNION ALL SELECT al.tx, al.chain, al.exon, p.a, p.g_start, p.g_end, NULL, NULL FROM alone al JOIN placed p USING (tx, chain, run)""")
+def exon_grouping(spark, d):
+    lines = X.table(spark, d, "lineitem")
+    exons = spark.sql(_LOCI.replace("FROM lineitem", "FROM {lines}"), lines=lines)
+    regions = exons.select("tx", "chain").distinct().selectExpr("tx", "chain", "CAST(0 AS BIGINT) AS start", "CAST(4000 AS BIGINT) AS stop")
+    return grouping.exon_groups(exons, regions, 50, 30)
