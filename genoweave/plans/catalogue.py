@@ -186,9 +186,9 @@ def class_pivot(spark, d):
 
 @_register(f"""WITH {_CLASSES}, t AS (SELECT *, CASE class WHEN 'ORTH' THEN 1 WHEN 'SPAN' THEN 2 WHEN 'PARA' THEN 3 END AS tier FROM classes),
 b AS (SELECT *, min(tier) OVER (PARTITION BY tx) AS best FROM t), r AS (SELECT *, row_number() OVER (PARTITION BY tx ORDER BY chain) AS r FROM b WHERE tier = best)
-SELECT tx, chain, class FROM r WHERE r <= 2 UNION ALL SELECT tx, chain, class FROM classes WHERE class = 'P_PGENE'""")
+SELECT tx, chain, class FROM r WHERE r <= 100 UNION ALL SELECT tx, chain, class FROM classes WHERE class = 'P_PGENE'""")
 def admission_topn(spark, d):
-    return P.admit(P.classify(X.features(spark, d)), most=2)  # the limit of its SQL
+    return P.admit(P.classify(X.features(spark, d)))
 
 
 @_register(f"WITH {_CLASSES} SELECT tx, chain, 'INSUFFICIENT_CHAIN_SCORE' AS reason, 'L' AS status FROM classes WHERE class = 'ORTH' AND score < 15000 UNION ALL SELECT DISTINCT tx, CAST(NULL AS BIGINT), 'NO_PROJ', 'M' FROM features WHERE tx NOT IN (SELECT tx FROM classes WHERE class <> 'ORTH' OR score >= 15000)")
