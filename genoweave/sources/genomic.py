@@ -170,3 +170,12 @@ def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
 def write_table(rows: DataFrame, path: str, compression: str = "none") -> None:
     """Any flat table as tab-separated files with a header."""
     rows.write.option("sep", "\t").option("header", True).option("compression", compression).csv(path)
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """(a, b, score) of a substitution matrix: a line of column letters, then a letter and its scores a line; # begins a comment."""
+    text = spark.read.text(path, wholetext=True)
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: ~F.regexp_like(x, F.lit(r"^\s*(#.*)?$")))
+    rows = text.select(F.split(F.trim(lines[0]), r"\s+").alias("head"), F.explode(F.slice(lines, F.lit(2), F.size(lines))).alias("line"))
+    cells = rows.select("head", F.split(F.trim("line"), r"\s+").alias("x")).select(F.col("x")[0].alias("a"), F.explode(F.arrays_zip(F.col("head").alias("b"), F.slice("x", F.lit(2), F.size("x")).alias("s"))).alias("c"))
+    return cells.select("a", "c.b", F.col("c.s").cast("bigint").alias("score"))
