@@ -86,7 +86,7 @@ rows_ AS (SELECT *, unnest(range(length(r) // 3)) AS j FROM chunks),
 two AS (SELECT rows_.doc_id, CASE WHEN j < length(r) // 3 - 1 OR r = '---' THEN '-' ELSE COALESCE(o.aa, 'X') END AS a, CASE WHEN head > 0 THEN 'X' ELSE COALESCE(c.aa, 'X') END AS b
   FROM rows_ LEFT JOIN code o ON o.codon = replace(r, '-', '') LEFT JOIN code c ON c.codon = substring(q, CAST(3 * j + 1 AS INT), 3)),
 scores AS (SELECT doc_id, sum(CASE WHEN a = '-' THEN 0 ELSE 4 + ascii(a) % 5 END) AS self_score, sum(CASE WHEN a = '-' AND b = '-' THEN 0 WHEN a = '-' OR b = '-' THEN -1 ELSE {_SCORE} END) AS pair_score FROM two GROUP BY doc_id),
-same AS (SELECT doc_id, count(*) FILTER (a <> '-' AND a = b) AS n_same, count(*) FILTER (a <> '-') AS ref_len FROM (SELECT doc_id, unnest(string_split(ref, '')) AS a, unnest(string_split(query, '')) AS b FROM pairs) z GROUP BY doc_id),
+same AS (SELECT doc_id, count(*) FILTER (a <> '-' AND a = b) AS n_same, count(*) FILTER (a <> '-') AS ref_len FROM (SELECT doc_id, unnest(string_split(ref, '')) AS a, unnest(string_split(query, '')) AS b FROM pairs WHERE ref <> '') z GROUP BY doc_id),
 every AS (SELECT doc_id, COALESCE(n_same, 0) AS n_same, COALESCE(ref_len, 0) AS ref_len, COALESCE(self_score, 0) AS self_score, COALESCE(pair_score, 0) AS pair_score FROM pairs LEFT JOIN same USING (doc_id) LEFT JOIN scores USING (doc_id))
 SELECT doc_id, CAST(n_same AS BIGINT) AS n_same, CAST(ref_len AS BIGINT) AS ref_len, CAST(self_score AS BIGINT) AS self_score, CAST(pair_score AS BIGINT) AS pair_score,
   CASE WHEN ref_len > 0 THEN n_same * 100.0::DOUBLE / ref_len ELSE 0.0::DOUBLE END AS nuc, CASE WHEN self_score > 0 THEN greatest(pair_score, 0) * 100.0::DOUBLE / self_score ELSE 0.0::DOUBLE END AS residue FROM every""")
