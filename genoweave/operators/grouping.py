@@ -1,8 +1,8 @@
-"""Search groups: exons of a projection that are aligned together, by their expected loci in the query."""
+"""Search groups of exons by their expected loci, exons shared by fragments, and combinations of alternatives."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_INTRON = 10  # spaces that are no farther apart are one group
@@ -67,3 +67,58 @@ def exon_groups(exons: DataFrame, regions: DataFrame, acceptor: int = 50, donor:
     return placed.select(
         *key, "exon", F.coalesce("low", "head").alias("first_exon"), F.when(free, left).otherwise(c("g_start")).alias("g_start"), F.when(free, right).otherwise(c("g_end")).alias("g_end"), "s_start", "s_end"
     )
+
+
+def shared_exons(found: DataFrame) -> DataFrame:
+    """found (tx, chain, exon, covered) -> (tx, chain, exon, covered): every exon of a fragmented transcript left to one of two neighbours.
+
+    The chains of a transcript are taken by their first, then their last exon (then by name), and each meets the next one once, as
+    the pair before has left it. Of the exons that both have, in order, the former keeps those it covers better, up to the first that it
+    doesn't; that one and all behind it are the latter's. A chain that has a single exon keeps it, the former before the latter. Chains that are
+    no neighbours in this order may still share exons. Null coverage counts as 0, repeated rows
+    as the best of them; a row holds the exons of one transcript.
+    """
+    best = found.groupBy("tx", "chain", "exon").agg(F.max(F.coalesce(F.col("covered").cast("bigint"), F.lit(0))).alias("covered"))
+    kind = best.schema["chain"].dataType.simpleString()
+    number = best.schema["exon"].dataType.simpleString()
+    mappers = best.groupBy("tx", "chain").agg(F.array_sort(F.collect_list(F.struct("exon", "covered"))).alias("exons"), F.min("exon").alias("lo"), F.max("exon").alias("hi"))
+    whole = mappers.groupBy("tx").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "chain", "exons"))).alias("f"))
+    piece = f"struct<chain:{kind},exons:array<struct<exon:{number},covered:bigint>>>"
+    state = f"struct<done:array<{piece}>,cur:{piece}>"
+    plain = lambda x: F.struct(x["chain"].alias("chain"), x["exons"].alias("exons"))
+
+    def settled(acc: Column, after: Column) -> Column:
+        former, latter = acc["cur"]["exons"], after["exons"]
+        theirs = F.map_from_entries(latter)
+        contested = F.filter(former, lambda e: F.map_contains_key(theirs, e["exon"]))
+        kept = lambda e: ((e["covered"] > theirs[e["exon"]]) & (F.size(latter) != 1)) | (F.size(former) == 1)
+        cut = F.array_min(F.transform(F.filter(contested, lambda e: ~kept(e)), lambda e: e["exon"]))
+        own = F.transform(contested, lambda e: e["exon"])
+        left = F.filter(former, lambda e: ~(F.array_contains(own, e["exon"]) & F.coalesce(e["exon"] >= cut, F.lit(False))))
+        right = F.filter(latter, lambda e: ~(F.array_contains(own, e["exon"]) & F.coalesce(e["exon"] < cut, F.lit(True))))
+        done = F.concat(acc["done"], F.array(F.struct(acc["cur"]["chain"].alias("chain"), left.alias("exons"))))
+        return F.struct(done.alias("done"), F.struct(after["chain"].alias("chain"), right.alias("exons")).alias("cur")).cast(state)
+
+    start = F.struct(F.array().cast(f"array<{piece}>").alias("done"), plain(F.col("f")[0]).alias("cur")).cast(state)
+    pieces = F.aggregate(F.slice("f", F.lit(2), F.size("f")), start, settled, lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
+    rows = whole.select("tx", F.explode(pieces).alias("p")).select("tx", "p.chain", F.explode("p.exons").alias("e"))
+    return rows.select("tx", "chain", "e.exon", "e.covered")
+
+
+def group_combinations(alternatives: DataFrame, key: list[str], group: str, alt: str) -> DataFrame:
+    """(key..., combination, group, alt): every way to take one alternative of each group, numbered from 1.
+
+    The first group changes slowest; groups and their alternatives are in order, equal ones count once,
+    rows without a group or an alternative not at all. The numbers of a combination are the
+    digits of its own number, so combinations are produced one after the other and never joined or held.
+    """
+    rows = alternatives.filter(F.col(group).isNotNull() & F.col(alt).isNotNull())
+    sets = rows.groupBy(*key, group).agg(F.array_sort(F.collect_set(alt)).alias("alts"))
+    whole = sets.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(group).alias("g"), F.col("alts").alias("alts")))).alias("gs"))
+    product = lambda x: F.aggregate(x, F.lit(1).cast("bigint"), lambda n, g: n * F.size(g["alts"]))
+    steps = F.transform("gs", lambda g, i: F.struct(g["g"].alias("g"), g["alts"].alias("alts"), product(F.slice("gs", i + 2, F.size("gs"))).alias("step")))
+    counted = whole.select(*key, steps.alias("gs"), product(F.col("gs")).alias("n"))
+    each = counted.select(*key, "gs", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("combination"))
+    each = each.select(*key, "combination", F.explode("gs").alias("x"))
+    digit = F.expr("CAST((combination - 1) div x.step % size(x.alts) AS INT)")
+    return each.select(*key, "combination", F.col("x.g").alias(group), F.col("x.alts")[digit].alias(alt))

@@ -144,3 +144,30 @@ def exon_grouping(spark, d):
     exons = spark.sql(_LOCI.replace("FROM lineitem", "FROM {lines}"), lines=lines)
     regions = exons.select("tx", "chain").distinct().selectExpr("tx", "chain", "CAST(0 AS BIGINT) AS start", "CAST(4000 AS BIGINT) AS stop")
     return grouping.exon_groups(exons, regions, 50, 30)
+
+
+# the lines of an order in up to three fragments, which share exons at their borders
+_FRAGMENTS = "SELECT l_orderkey AS tx, l_partkey % 3 AS chain, CAST(l_linenumber + l_suppkey % 4 AS INT) AS exon, CAST(max(l_quantity) AS BIGINT) % 20 AS covered FROM lineitem GROUP BY ALL"
+
+
+@_register(f"""WITH RECURSIVE found AS ({_FRAGMENTS}),
+ord AS (SELECT tx, chain, row_number() OVER (PARTITION BY tx ORDER BY min(exon), max(exon), chain) AS i, list(struct_pack(x := exon, c := covered) ORDER BY exon) AS l FROM found GROUP BY tx, chain),
+walk(tx, i, chain, l, left_chain, left_l) AS (SELECT tx, i, chain, l, NULL::BIGINT, NULL::STRUCT(x INTEGER, c BIGINT)[] FROM ord WHERE i = 1
+  UNION ALL SELECT tx, i, chain, list_filter(nl, lambda e: NOT list_contains(own, e.x) OR (cut IS NOT NULL AND e.x >= cut)), was, list_filter(l, lambda e: NOT list_contains(own, e.x) OR cut IS NULL OR e.x < cut)
+  FROM (SELECT *, list_min(list_transform(list_filter(shared, lambda e: NOT ((e.c > list_filter(nl, lambda z: z.x = e.x)[1].c AND len(nl) <> 1) OR len(l) = 1)), lambda e: e.x)) AS cut, list_transform(shared, lambda e: e.x) AS own
+    FROM (SELECT w.tx, o.i, o.chain, w.chain AS was, w.l, o.l AS nl, list_filter(w.l, lambda e: list_contains(list_transform(o.l, lambda z: z.x), e.x)) AS shared FROM walk w JOIN ord o ON o.tx = w.tx AND o.i = w.i + 1) a) b),
+kept AS (SELECT tx, left_chain AS chain, unnest(left_l) AS e FROM walk WHERE i > 1 UNION ALL SELECT w.tx, w.chain, unnest(w.l) FROM walk w WHERE i = (SELECT max(o.i) FROM ord o WHERE o.tx = w.tx))
+SELECT tx, chain, e.x AS exon, e.c AS covered FROM kept""")
+def fragment_exons(spark, d):
+    return grouping.shared_exons(spark.sql(_FRAGMENTS.replace("FROM lineitem", "FROM {lines}"), lines=X.table(spark, d, "lineitem")))
+
+
+@_register("""WITH RECURSIVE alts AS (SELECT DISTINCT l_orderkey AS tx, l_linenumber % 4 AS grp, l_partkey % 3 AS alt FROM lineitem),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY tx ORDER BY grp) AS i FROM alts),
+way(tx, i, path) AS (SELECT tx, i, [alt] FROM ranked WHERE i = 1 UNION ALL SELECT r.tx, r.i, list_append(w.path, r.alt) FROM way w JOIN ranked r ON r.tx = w.tx AND r.i = w.i + 1),
+whole AS (SELECT tx, path, row_number() OVER (PARTITION BY tx ORDER BY path) AS combination FROM way w WHERE i = (SELECT max(i) FROM ranked r WHERE r.tx = w.tx)),
+names AS (SELECT DISTINCT tx, grp, i FROM ranked)
+SELECT tx, combination, grp, path[i] AS alt FROM whole JOIN names USING (tx)""")
+def group_combinations(spark, d):
+    rows = X.table(spark, d, "lineitem").selectExpr("l_orderkey AS tx", "l_linenumber % 4 AS grp", "l_partkey % 3 AS alt")
+    return grouping.group_combinations(rows, ["tx"], "grp", "alt")

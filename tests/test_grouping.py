@@ -1,8 +1,9 @@
 """Search groups against a plain walk over the exons of a projection."""
 
+import itertools
 import random
 
-from genoweave.operators.grouping import exon_groups
+from genoweave.operators.grouping import exon_groups, group_combinations, shared_exons
 
 
 def plain(exons, region, codirected, acc, don, gap):
@@ -70,3 +71,46 @@ def test_groups(spark):
         got.setdefault(r["tx"], {})[r["exon"]] = (r["first_exon"], r["g_start"], r["g_end"], r["s_start"], r["s_end"])
     assert got == want
     assert exon_groups(df.limit(0), spark.createDataFrame(regions, "tx string, chain long, start long, stop long")).collect() == []
+
+
+def settle(fragments):
+    """fragments {chain: {exon: covered}} -> the same, exon by exon as one meets the next."""
+    order = sorted(fragments, key=lambda c: (min(fragments[c]), max(fragments[c]), c))
+    left = {c: dict(x) for c, x in fragments.items()}
+    for a, b in zip(order, order[1:], strict=False):
+        former, latter = left[a], left[b]
+        one, other, lost = len(former) == 1, len(latter) == 1, False
+        for x in sorted(set(former) & set(latter)):
+            if not lost and (one or (former[x] > latter[x] and not other)):
+                del latter[x]
+            else:
+                lost = True
+                del former[x]
+    return left
+
+
+def test_shared_exons(spark):
+    rng, rows, want = random.Random(3), [], set()
+    for tx in range(120):
+        fragments = {}
+        for chain in range(rng.randrange(1, 6)):
+            first = rng.randrange(1, 8)
+            fragments[chain] = {x: rng.randrange(0, 6) for x in range(first, first + rng.randrange(1, 6))}
+        rows += [(tx, c, x, n or None) for c, f in fragments.items() for x, n in f.items()]
+        want |= {(tx, c, x, n) for c, f in settle(fragments).items() for x, n in f.items()}
+    df = spark.createDataFrame(rows + rows[:50], "tx int, chain long, exon int, covered int")
+    got = [tuple(r) for r in shared_exons(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) < len(rows)
+    assert shared_exons(df.limit(0)).collect() == []
+
+
+def test_combinations(spark):
+    rng, rows, want = random.Random(4), [], []
+    for tx in range(25):
+        groups = {g: [f"a{n}" for n in range(rng.randrange(1, 4))] for g in rng.sample(range(9), rng.randrange(1, 5))}
+        rows += [(tx, g, a) for g, alts in groups.items() for a in alts]
+        for n, choice in enumerate(itertools.product(*[groups[g] for g in sorted(groups)]), 1):
+            want += [(tx, n, g, a) for g, a in zip(sorted(groups), choice, strict=True)]
+    df = spark.createDataFrame([*rows, *rows[:5], (3, None, "a"), (4, 1, None)], "tx int, g int, a string")
+    assert sorted(tuple(r) for r in group_combinations(df, ["tx"], "g", "a").collect()) == sorted(want)
