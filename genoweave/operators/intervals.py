@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BIN = 1024
 RANGE = 1 << 20  # bases of a sequence that one task sorts
+LEVELS, FACTOR = 6, 32  # levels of bins; those of a level are this many times as long as those below
 
 
 def overlap(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
@@ -34,6 +35,56 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], l_range: tup
     return joined.filter(meets & first).drop("_bin")
 
 
+def _level(start: str, end: str, size: int) -> Column:
+    """The lowest level whose bins are at least as long as the interval."""
+    fits = [F.when(F.col(end) - F.col(start) <= size * FACTOR**k, k) for k in range(LEVELS - 1)]
+    return F.coalesce(*fits, F.lit(LEVELS - 1))
+
+
+def level_rows(df: DataFrame, start: str, end: str, size: int, probe: int) -> DataFrame:
+    """The rows once for each bin they meet another side in: _kind, _lv, _bin.
+
+    An interval is at home on its own level (kind 0, and again as the one that is probed), and probes
+    (kind ``probe``) those above: at most two bins each, so 14 rows up to the longest bin of all.
+    """
+    own = df.filter(F.col(end) > F.col(start)).withColumn("_own", _level(start, end, size))
+    places = [(0, F.col("_own")), (3 - probe, F.col("_own")), *[(probe, F.lit(k)) for k in range(1, LEVELS)]]
+    marks = F.filter(F.array(*[F.struct(F.lit(kind).alias("k"), lv.cast("int").alias("lv")) for kind, lv in places]), lambda m: (m["k"] != probe) | (m["lv"] > F.col("_own")))
+    rows = own.withColumn("_m", F.explode(marks)).withColumns({"_kind": F.col("_m.k"), "_lv": F.col("_m.lv")})
+    wide = F.pow(F.lit(FACTOR), "_lv").cast("bigint") * size
+    return rows.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / wide), F.floor((F.col(end) - 1) / wide)))).drop("_m", "_own")
+
+
+def levelled_join(left: DataFrame, right: DataFrame, on: list[str], l_range: tuple[str, str], r_range: tuple[str, str], size: int = BIN) -> DataFrame:
+    """The pairs of ``interval_join``, for intervals of any mixture of lengths.
+
+    A pair meets on the level of the longer one: either both are at home there or the shorter one probes it, never two that
+    probe. Levels on which the other side has no interval are not probed; which they are is a table of at most
+    ``LEVELS`` rows, the only thing broadcast. It reads each side twice; where all intervals are
+    short, ``interval_join`` does with less.
+    """
+    (ls, le), (rs, re_) = l_range, r_range
+
+    def needed(rows: DataFrame, other: DataFrame, start: str, end: str, probe: int) -> DataFrame:
+        there = other.filter(F.col(end) > F.col(start)).select(_level(start, end, size).cast("int").alias("_lv")).distinct().withColumn("_kind", F.lit(probe))
+        kept = there.unionByName(rows.sparkSession.range(LEVELS).select(F.col("id").cast("int").alias("_lv"), F.explode(F.array(F.lit(0), F.lit(3 - probe))).alias("_kind")))
+        return rows.join(F.broadcast(kept), ["_kind", "_lv"], "left_semi")
+
+    a = needed(level_rows(left, ls, le, size, 2), right, rs, re_, 2)
+    b = needed(level_rows(right, rs, re_, size, 1), left, ls, le, 1)
+    joined = a.join(b, [*on, "_kind", "_lv", "_bin"])
+    meets = (F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le))
+    first = F.col("_bin") == F.floor(F.greatest(ls, rs) / (F.pow(F.lit(FACTOR), "_lv").cast("bigint") * size))
+    return joined.filter(meets & first).drop("_kind", "_lv", "_bin")
+
+
+def unit_owners(df: DataFrame, by: list[str], start: str, end: str, owner: str) -> DataFrame:
+    """(by..., u_start, u_end, owner): elementary units, a row for each different owner of an interval that covers it."""
+    units = discretize(df, by, start, end).select(*by, "u_start", "u_end")
+    names = df.select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"), owner)
+    return levelled_join(units, names, by, ("u_start", "u_end"), ("_s", "_e")).select(*by, "u_start", "u_end", owner).distinct()
+
+
 def point_join(points: DataFrame, spans: DataFrame, on: list[str], pos: str, span: tuple[str, str], size: int = BIN) -> DataFrame:
     """Points with start <= pos <= stop, by the same bins."""
     binned = spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(span[0]) / size), F.floor(F.col(span[1]) / size))))

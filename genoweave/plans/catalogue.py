@@ -112,6 +112,17 @@ def interval_discretize(spark, d):
     return I.discretize(X.exons(spark, d), ["chrom"], "e_start", "e_end")
 
 
+# exons, and bodies that reach over many of them
+_COVER = "SELECT tx, chrom, e_start AS s, e_end AS e FROM exons UNION ALL SELECT -tx, chrom, e_start, e_start + 60000 + tx % 7 * 9000 FROM exons WHERE exon = 1 AND tx % 50 = 0"
+
+
+@_register(f"""WITH {X.EXONS}, c AS ({_COVER}), p AS (SELECT DISTINCT chrom, s AS x FROM c UNION SELECT chrom, e FROM c),
+u AS (SELECT chrom, x AS u_start, lead(x) OVER (PARTITION BY chrom ORDER BY x) AS u_end FROM p)
+SELECT DISTINCT u.chrom, u_start, u_end, tx FROM u JOIN c ON c.chrom = u.chrom AND c.s <= u_start AND c.e >= u_end""")
+def interval_unit_owners(spark, d):
+    return I.unit_owners(spark.sql(_COVER.replace("FROM exons", "FROM {exons}"), exons=X.exons(spark, d)), ["chrom"], "s", "e", "tx")
+
+
 @_register(f"""WITH {X.EXONS}, {X.ISOFORMS}, e AS (SELECT chrom, gene, tx, e_start, e_end FROM exons JOIN isoforms USING (tx))
 SELECT a.tx AS tx_a, b.tx AS tx_b, CAST(sum(least(a.e_end, b.e_end) - greatest(a.e_start, b.e_start)) AS BIGINT) AS shared FROM e a JOIN e b ON a.chrom = b.chrom AND a.tx < b.tx AND a.gene <> b.gene AND a.e_start < b.e_end AND b.e_start < a.e_end GROUP BY a.tx, b.tx""")
 def self_overlap_diff_gene(spark, d):
