@@ -81,3 +81,24 @@ def test_fragments_and_synteny(spark):
     pairs = {(tx, chain) for tx, chain, *_ in _met(exons, blocks) if tx in of}
     want = {c: (len(set().union(*(of[t] for t, x in pairs if x == c))), len({t for t, x in pairs if x == c})) for _, c in pairs}
     assert {r.chain: (r.synt, r.tx_on_chain) for r in C.synteny_counts(e, b, genes).collect()} == want
+
+
+def test_mapped_exons(spark):
+    """Without pairs, the mapping of all overlapping spans equals that of the pairs given."""
+    rnd = random.Random(8)
+    _, _, e, _ = _tables(spark, 8)
+    rows = []
+    for chain in range(25):
+        at, q, forward = rnd.randrange(-3000, 50000), rnd.randrange(500, 9000), chain % 2 == 0
+        low = []
+        for blk in range(rnd.randrange(1, 30)):
+            size = rnd.randrange(1, 120)
+            low.append((blk, at, at + size, q, q + size))
+            at, q = at + size + rnd.choice([0, 0, 300, 20000]), q + size + rnd.randrange(0, 900)
+        for blk, s, t, a, b in low:
+            rows.append((chain, "a" if chain % 3 else "b", blk, s, t, *((a, b) if forward else (200000 - b, 200000 - a)), forward))
+    blocks = spark.createDataFrame(rows, "chain bigint, chrom string, blk bigint, b_start bigint, b_end bigint, q_start bigint, q_end bigint, codirected boolean")
+    exons = e.filter("exon IS NOT NULL").groupBy("tx", "chrom", "exon").agg({"e_start": "min", "e_end": "max"}).toDF("tx", "chrom", "exon", "e_start", "e_end")
+    want = sorted(map(str, C.map_exons(exons, C.chain_transcript_pairs(exons, blocks), blocks).collect()))
+    found = sorted(map(str, C.map_exons(exons, None, blocks).collect()))
+    assert found == want and {s for s in ("mapped", "gap", "out", "missing") if any(f"state='{s}'" in r for r in want)} == {"mapped", "gap", "out", "missing"}
