@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.operators.graph import connected_components
-from genoweave.session import written
+from genoweave.session import discard, written
 
 BINS = 64  # parts of the neighbours of a vertex that are ordered by themselves
 
@@ -16,16 +16,35 @@ def _plain(edges: DataFrame, a: str, b: str) -> DataFrame:
     return written(rows.distinct(), "edges")
 
 
+def _numbered(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges by numbers of their vertices, in the order of the names, and (name, n): rounds move eight bytes for a name."""
+    vertices = e.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    names = written(vertices.orderBy("name").withColumn("n", F.monotonically_increasing_id()), "vertex-names")
+    at = lambda c: names.select(F.col("name").alias(c), F.col("n").alias(f"{c}_n"))
+    rows = written(e.join(at("a"), "a").join(at("b"), "b").select(F.col("a_n").alias("a"), F.col("b_n").alias("b")), "edges")
+    discard(e)
+    return rows, names
+
+
+def _renamed(rows: DataFrame, names: DataFrame, *columns: str) -> DataFrame:
+    """The rows with names in the place of numbers; nulls stay."""
+    for c in columns:
+        rows = rows.join(names.select(F.col("n").alias(c), F.col("name").alias("_name")), c, "left").withColumn(c, F.col("_name")).drop("_name")
+    return rows
+
+
 def _last(hops: DataFrame, label: str) -> DataFrame:
     """hops (c, p), without cycles -> (c, p) with p the last vertex that hops lead to; rounds are logarithmic."""
-    at = hops
+    at, table = hops, None
     while True:
         ahead = at.select(F.col("c").alias("p"), F.col("p").alias("far"))
         twice = at.join(ahead, "p", "left").select("c", F.coalesce("far", "p").alias("p"), F.col("far").isNotNull().alias("moved"))
-        at = written(twice, label)
-        if at.filter("moved").isEmpty():
-            return at.select("c", "p")
-        at = at.drop("moved")
+        before, table = table, written(twice, label)
+        if before is not None:
+            discard(before)
+        if table.filter("moved").isEmpty():
+            return table.select("c", "p")
+        at = table.drop("moved")
 
 
 def spanning_forest(e: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,7 +64,9 @@ def spanning_forest(e: DataFrame) -> tuple[DataFrame, DataFrame]:
         root = root.join(last.withColumnRenamed("c", "root"), "root", "left").select("vertex", F.coalesce("p", "root").alias("root"))
         to = lambda c: last.select(F.col("c").alias(c), F.col("p").alias(f"new_{c}"))
         moved = left.join(to("ca"), "ca", "left").join(to("cb"), "cb", "left").select("a", "b", F.coalesce("new_ca", "ca").alias("ca"), F.coalesce("new_cb", "cb").alias("cb"))
-        left = written(moved.filter("ca <> cb"), "edges-left")
+        before, left = left, written(moved.filter("ca <> cb"), "edges-left")
+        if hasattr(before, "written_to"):
+            discard(before)
         if left.isEmpty():
             return forest, written(root, "tree-roots")
 
@@ -76,10 +97,12 @@ def euler_tours(forest: DataFrame, roots: DataFrame) -> DataFrame:
     at = linked.select("root", F.col("u").alias("x"), F.col("v").alias("y"), F.when(turn.isNotNull(), F.col("v")).alias("sx"), turn.alias("sy"), F.lit(1).cast("bigint").alias("d"))
     at = written(at, "tour")
     while not at.filter("sy IS NOT NULL").isEmpty():
+        before = at
         ahead = at.select(F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("sx").alias("tx"), F.col("sy").alias("ty"), F.col("d").alias("more"))
         for _ in range(2):  # three times as far in a round
             at = at.join(ahead, ["sx", "sy"], "left").select("root", "x", "y", F.col("tx").alias("sx"), F.col("ty").alias("sy"), (F.col("d") + F.coalesce("more", F.lit(0))).alias("d"))
         at = written(at, "tour")
+        discard(before)
     size = at.groupBy("root").agg(F.max("d").alias("n"))
     places = at.join(size, "root").select("root", "x", "y", (F.col("n") - F.col("d")).alias("t"))
     both = places.groupBy("root", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(
@@ -87,7 +110,9 @@ def euler_tours(forest: DataFrame, roots: DataFrame) -> DataFrame:
     )
     inner = both.select("down.vertex", "down.parent", "root", F.col("down.t").alias("t_in"), "t_out")
     top = size.select(F.col("root").alias("vertex"), F.lit(None).cast(forest.schema["a"].dataType).alias("parent"), "root", F.lit(-1).cast("bigint").alias("t_in"), F.col("n").alias("t_out"))
-    return written(inner.unionByName(top), "tree")
+    tree = written(inner.unionByName(top), "tree")
+    discard(at)
+    return tree
 
 
 def _subtree_ends(tree: DataFrame, own: DataFrame) -> DataFrame:
@@ -122,11 +147,16 @@ def biconnected_components(edges: DataFrame, a: str = "a", b: str = "b") -> Data
     components of these links. Self loops, null ends and repeated edges are ignored; every step is a
     join or an aggregate by vertex or place, and rounds grow with the logarithm of the largest tree.
     """
-    return _blocks(edges, a, b)[1]
+    _, of_edge, names = _blocks(edges, a, b)
+    return _renamed(of_edge, names, "a", "b", "block").select("a", "b", "block")
 
 
-def _blocks(edges: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame]:
-    e = _plain(edges, a, b)
+def _blocks(edges: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    e, names = _numbered(_plain(edges, a, b))
+    return (*_blocks_of(e), names)
+
+
+def _blocks_of(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = e.schema["a"].dataType
     if e.isEmpty():
         none = e.withColumn("block", F.lit(None).cast(kind))
@@ -158,7 +188,11 @@ def articulation_points(edges: DataFrame, a: str = "a", b: str = "b") -> DataFra
 
     Such a vertex has edges in several blocks: its own tree edge's and those of its children.
     """
-    named, _ = _blocks(edges, a, b)
+    named, _, names = _blocks(edges, a, b)
+    return _renamed(_cut(named), names, "vertex").select("vertex", "n_blocks")
+
+
+def _cut(named: DataFrame) -> DataFrame:
     if "block" not in named.columns:
         return named.select("vertex", F.lit(0).cast("bigint").alias("n_blocks"))
     held = named.select("vertex", "block").unionByName(named.select(F.col("parent").alias("vertex"), "block")).distinct()
@@ -170,11 +204,12 @@ def split_chimeras(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Vertices that are then alone are their own root.
     """
-    e = _plain(edges, a, b)
-    cut = written(articulation_points(e).select("vertex"), "chimeras")
+    e, names = _numbered(_plain(edges, a, b))
+    cut = written(_cut(_blocks_of(e)[0]).select("vertex"), "chimeras")
     ends = e.select(F.col("a").alias("vertex")).union(e.select("b")).distinct()
     kept = e.join(cut.withColumnRenamed("vertex", "a"), "a", "left_anti").join(cut.withColumnRenamed("vertex", "b"), "b", "left_anti")
     root = connected_components(kept)
     rows = ends.join(cut.withColumn("chimeric", F.lit(True)), "vertex", "left").join(root, "vertex", "left")
     chimeric = F.coalesce("chimeric", F.lit(False))
-    return rows.select("vertex", chimeric.alias("chimeric"), F.when(~chimeric, F.coalesce("root", "vertex")).alias("root"))
+    found = rows.select("vertex", chimeric.alias("chimeric"), F.when(~chimeric, F.coalesce("root", "vertex")).alias("root"))
+    return _renamed(found, names, "vertex", "root").select("vertex", "chimeric", "root")
