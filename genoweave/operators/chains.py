@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.operators import local
-from genoweave.operators.intervals import interval_join, overlap
+from genoweave.operators.intervals import interval_join, merge_intervals, overlap
 
 E_RANGE, B_RANGE = ("e_start", "e_end"), ("b_start", "b_end")
 
@@ -53,7 +53,10 @@ def unaligned(exons: DataFrame, blocks: DataFrame) -> DataFrame:
     """(tx, reason) of transcripts that no chain reaches."""
     spans = transcript_spans(exons)
     chroms = blocks.select("chrom").distinct().withColumn("there", F.lit(True))
-    left = spans.join(chain_transcript_pairs(exons, blocks), "tx", "left_anti")
+    # islands of chains instead of chains: a transcript meets an island or two, however many chains there are
+    islands = merge_intervals(chain_spans(blocks).filter("c_end > c_start"), ["chrom"], "c_start", "c_end", ["chain"]).select("chrom", "m_start", "m_end")
+    reached = interval_join(spans, islands, ["chrom"], ("t_start", "t_end"), ("m_start", "m_end"), 65536).select("tx")
+    left = spans.join(reached, "tx", "left_anti")
     reason = F.when(F.col("there"), "UNALIGNED_TR").otherwise("UNCOV_CHROM")
     return left.join(chroms, "chrom", "left").select("tx", reason.alias("reason"))
 

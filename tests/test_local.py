@@ -102,3 +102,12 @@ def test_mapped_exons(spark):
     want = sorted(map(str, C.map_exons(exons, C.chain_transcript_pairs(exons, blocks), blocks).collect()))
     found = sorted(map(str, C.map_exons(exons, None, blocks).collect()))
     assert found == want and {s for s in ("mapped", "gap", "out", "missing") if any(f"state='{s}'" in r for r in want)} == {"mapped", "gap", "out", "missing"}
+
+
+def test_unaligned_meets_islands(spark):
+    """A transcript under many chains meets an island; before, it met every chain."""
+    e = spark.createDataFrame([(t, "a" if t < 9 else "b", 0, t * 1000, t * 1000 + 100) for t in range(10)], "tx bigint, chrom string, exon bigint, e_start bigint, e_end bigint")
+    b = spark.createDataFrame([(c, "a", 0, 1900 + c, 3050 + c) for c in range(50)] + [(99, "a", 0, 5100, 6000)], "chain bigint, chrom string, blk bigint, b_start bigint, b_end bigint")
+    assert {tuple(r) for r in C.unaligned(e, b).collect()} == {(t, "UNALIGNED_TR") for t in (0, 1, 4, 5, 6, 7, 8)} | {(9, "UNCOV_CHROM")}
+    plan = C.unaligned(e, b)._jdf.queryExecution().analyzed().toString()
+    assert "m_start" in plan and "c_start" in plan
