@@ -236,7 +236,8 @@ def span_precedence(spark, d):
     b = X.blocks(spark, d)
     gaps = C.chain_gaps(b).join(b.select("chain", "chrom").distinct(), "chain")
     head = C.transcript_spans(X.exons(spark, d)).withColumn("h_end", F.col("t_start") + 60)
-    hits = I.interval_join(head, gaps, ["chrom"], ("t_start", "h_end"), ("g_start", "g_end")).filter("g_start <= t_start AND h_end <= g_end")
+    # a transcript's gaps meet in one task, which hands on the narrowest
+    hits = local.local_overlaps(head, gaps, ["chrom"], ["tx"], ("t_start", "h_end"), ("g_start", "g_end"), local.narrowest, "tx bigint, chain bigint, g_start bigint, g_end bigint")
     return P.span_precedence(hits)
 
 

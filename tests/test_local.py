@@ -111,3 +111,28 @@ def test_unaligned_meets_islands(spark):
     assert {tuple(r) for r in C.unaligned(e, b).collect()} == {(t, "UNALIGNED_TR") for t in (0, 1, 4, 5, 6, 7, 8)} | {(9, "UNCOV_CHROM")}
     plan = C.unaligned(e, b)._jdf.queryExecution().analyzed().toString()
     assert "m_start" in plan and "c_start" in plan
+
+
+def test_narrowest_gaps_meet_where_they_are_folded(spark):
+    """The narrowest gap around each head, lowest chain on ties, against all pairs; no pair is shuffled."""
+    import random
+
+    from genoweave.operators import local
+    from genoweave.plans import catalogue
+
+    r = random.Random(5)
+    heads = [(t, f"c{t % 2}", s, s + r.choice((1, 60, 9000))) for t in range(300) for s in [r.randrange(20000)]]
+    gaps = [(c, f"c{r.randrange(2)}", s, s + r.choice((0, 70, 500, 500, 30000))) for c in range(400) for s in [r.randrange(20000) - 5000]]
+    want = {}
+    for t, chrom, s, e in heads:
+        inside = [(ge - gs, c) for c, k, gs, ge in gaps if k == chrom and gs <= s and e <= ge]
+        if inside:
+            want[t] = min(inside)[1]
+    left = spark.createDataFrame(heads, "tx long, chrom string, t_start long, h_end long")
+    right = spark.createDataFrame(gaps, "chain long, chrom string, g_start long, g_end long")
+    schema = "tx bigint, chain bigint, g_start bigint, g_end bigint"
+    found = local.local_overlaps(left, right, ["chrom"], ["tx"], ("t_start", "h_end"), ("g_start", "g_end"), local.narrowest, schema).collect()
+    assert {x["tx"]: x["chain"] for x in found} == want and len(found) == len(want) > 100
+    assert local.local_overlaps(left, right.limit(0), ["chrom"], ["tx"], ("t_start", "h_end"), ("g_start", "g_end"), local.narrowest, schema).count() == 0
+    plan = catalogue.QUERIES["span_precedence"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bin" not in plan and "MapInArrow" in plan
