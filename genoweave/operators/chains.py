@@ -46,7 +46,7 @@ def transcript_spans(exons: DataFrame) -> DataFrame:
 
 def chain_transcript_pairs(exons: DataFrame, blocks: DataFrame) -> DataFrame:
     """(chain, tx) whose spans overlap."""
-    return interval_join(transcript_spans(exons), chain_spans(blocks), ["chrom"], ("t_start", "t_end"), ("c_start", "c_end"), 65536).select("chain", "tx")
+    return interval_join(transcript_spans(exons), chain_spans(blocks), ["chrom"], ("t_start", "t_end"), ("c_start", "c_end"), 8192).select("chain", "tx")
 
 
 def unaligned(exons: DataFrame, blocks: DataFrame) -> DataFrame:
