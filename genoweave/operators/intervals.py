@@ -137,7 +137,13 @@ def carried(df: DataFrame, by: list[str], bins: DataFrame) -> DataFrame:
 
 
 def merge_intervals(df: DataFrame, by: list[str], start: str, end: str, order: list[str], size: int = RANGE) -> DataFrame:
-    """Islands of intervals that overlap by at least one base: by..., grp, m_start, m_end, n.
+    """Islands of intervals that overlap by at least one base: by..., grp, m_start, m_end, n."""
+    rows = island_rows(df, by, start, end, order, size)
+    return rows.groupBy(*by, "grp").agg(F.min(start).alias("m_start"), F.max(end).alias("m_end"), F.count("*").alias("n"))
+
+
+def island_rows(df: DataFrame, by: list[str], start: str, end: str, order: list[str], size: int = RANGE) -> DataFrame:
+    """The intervals with the number of their island, grp.
 
     A sequence is cut into ranges of ``size`` by the start; a range takes over how far earlier ones
     reach and how many islands they began, so that only a row for each range is ordered in one task.
@@ -155,7 +161,7 @@ def merge_intervals(df: DataFrame, by: list[str], start: str, end: str, order: l
     # equal rows may change places between the windows: the one that begins an island stays first
     again = Window.partitionBy(*by, "_bin").orderBy(start, end, *order, F.desc("_new"))
     grp = F.col("_base") + F.sum("_new").over(again.rowsBetween(Window.unboundedPreceding, 0))
-    return numbered.withColumn("grp", grp).groupBy(*by, "grp").agg(F.min(start).alias("m_start"), F.max(end).alias("m_end"), F.count("*").alias("n"))
+    return numbered.withColumn("grp", grp).drop("_bin", "_before", "_new", "_base")
 
 
 def discretize(df: DataFrame, by: list[str], start: str, end: str, size: int = RANGE) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoweave.operators import local
 from genoweave.operators.graph import connected_components
-from genoweave.operators.intervals import RANGE, carried, interval_join
+from genoweave.operators.intervals import RANGE, carried, interval_join, island_rows
 
 
 def overlapping_pairs(exons: DataFrame, key: str, on: list[str]) -> DataFrame:
@@ -16,20 +17,35 @@ def overlapping_pairs(exons: DataFrame, key: str, on: list[str]) -> DataFrame:
     return hits.filter("a < b").select("a", "b").distinct()
 
 
+def projection_links(exons: DataFrame, apart: DataFrame) -> DataFrame:
+    """(a, b): links that join the projections into the components of ``query_gene_loci``.
+
+    Overlapping exons of one transcript's projections on a strand are an island, and its members are tied to the smallest one.
+    Islands of different transcripts meet in tasks, which hand on ties instead of pairs, so what is
+    moved grows with the exons. The transcripts that its own is apart from are in an island's row.
+    """
+    on = ["chrom", "strand"]
+    rows = exons.filter("e_end > e_start AND proj IS NOT NULL AND chrom IS NOT NULL AND strand IS NOT NULL").select("proj", "tx", *on, "e_start", "e_end")
+    rows = island_rows(rows, [*on, "tx"], "e_start", "e_end", ["proj"]).withColumnRenamed("grp", "_bin")
+    islands = rows.groupBy(*on, "tx", "_bin").agg(F.min("proj").alias("a"), F.min("e_start").alias("a_s"), F.max("e_end").alias("a_e"))
+    members = carried(rows, [*on, "tx"], islands).select("a", F.col("proj").alias("b"))
+    both = apart.select(F.explode(F.array(F.struct(F.col("a").alias("tx"), F.col("b").alias("o")), F.struct(F.col("b").alias("tx"), F.col("a").alias("o")))).alias("p"))
+    lists = both.groupBy("p.tx").agg(F.collect_set("p.o").alias("apart"))
+    left = islands.join(lists, "tx", "left").select(*on, "a", "a_s", "a_e", "apart")
+    right = islands.select(*on, F.col("a").alias("b"), F.col("tx").alias("tx_b"), F.col("a_s").alias("b_s"), F.col("a_e").alias("b_e"))
+    ties = local.local_overlaps(left, right, on, ["a", "a_s"], ("a_s", "a_e"), ("b_s", "b_e"), local.ties, local.typed(left, "a") + ", " + local.typed(right, "b"))
+    return members.unionByName(ties)
+
+
 def query_gene_loci(exons: DataFrame, apart: DataFrame) -> DataFrame:
     """exons (proj, tx, chrom, strand, e_start, e_end), apart (a, b) -> (chrom, locus, g_start, g_end, n).
 
     Projections with an exon overlap on one strand form a query gene, but a pair whose reference
     transcripts are in ``apart`` (a < b, those of overlapping reference genes) is no link. A gene is
     a component of the links; its loci are numbered along each chromosome by start, end and smallest
-    projection. Projections without a link are genes of their own.
+    projection. Projections without a link are genes of their own. A projection has one transcript.
     """
-    tx = exons.select("proj", "tx").distinct()
-    named = lambda x: tx.select(F.col("proj").alias(x), F.col("tx").alias(f"tx_{x}"))
-    links = overlapping_pairs(exons, "proj", ["chrom", "strand"]).join(named("a"), "a").join(named("b"), "b")
-    low, high = F.least("tx_a", "tx_b").alias("l"), F.greatest("tx_a", "tx_b").alias("h")
-    links = links.select("a", "b", low, high).join(apart.select(F.col("a").alias("l"), F.col("b").alias("h")), ["l", "h"], "left_anti")
-    roots = connected_components(links).select(F.col("vertex").alias("proj"), "root")
+    roots = connected_components(projection_links(exons, apart)).select(F.col("vertex").alias("proj"), "root")
     spans = exons.groupBy("proj", "chrom").agg(F.min("e_start").alias("s"), F.max("e_end").alias("e"))
     genes = spans.join(roots, "proj", "left").groupBy("chrom", F.coalesce("root", "proj").alias("root")).agg(F.min("s").alias("g_start"), F.max("e").alias("g_end"), F.count("*").alias("n"))
     # ranges of a chromosome are numbered apart and take over how many loci come before them
