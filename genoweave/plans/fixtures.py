@@ -42,7 +42,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", "regexp_replace(upper(text), '[^ACGT]', '') AS seq")
+    return table(spark, sf_dir, "documents").selectExpr("doc_id", "regexp_replace(upper(text), '[^ACGT]+', '') AS seq")
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
