@@ -1,14 +1,21 @@
-"""Biconnected components of edge tables: spanning forest, Euler tours, low and high links; no component meets in a task."""
+"""Biconnected components of edge tables: spanning forest, Euler tours, low and high links; no large component meets in a task."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoweave.operators import local
 from genoweave.operators.graph import connected_components
-from genoweave.session import discard, written
+from genoweave.session import discard, partitions, written
 
 BINS = 64  # parts of the neighbours of a vertex that are ordered by themselves
+SMALL = 1 << 18  # edges up to which a component is walked in one task
 
 
 def _plain(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -183,13 +190,119 @@ def _blocks_of(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named, of_edge
 
 
-def articulation_points(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _by_component(edges: DataFrame, a: str, b: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(g, a, b) of the edges in components of up to ``small`` edges, repeats included, (a, b) of all others, and the table of both.
+
+    Components are found over hashes of 40 bits, so that rounds move little; names with one hash may put two
+    components together, which parts no component.
+    """
+    named = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b")
+    hashed = lambda c: F.shiftrightunsigned(F.xxhash64(c), 24)
+    rows = written(named.withColumn("h", hashed("a")), "hashed-edges")
+    root = connected_components(rows.select(F.col("h").alias("a"), hashed("b").alias("b")))
+    # an end that shares its hash with the other one may be in no link
+    placed = rows.join(root, rows["h"] == root["vertex"], "left").select(F.coalesce("root", "h").alias("g"), "a", "b")
+    placed = written(placed, "edges")
+    discard(rows)
+    large = written(placed.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > small).select("g"), "large-components")
+    if large.isEmpty():
+        return placed, placed.limit(0).select("a", "b"), placed
+    # each has many edges, so they are few
+    return placed.join(F.broadcast(large), "g", "left_anti"), placed.join(F.broadcast(large), "g", "left_semi").select("a", "b"), placed
+
+
+def _walked(rows: DataFrame, fold: Callable[[pa.Array, np.ndarray, np.ndarray], list], schema: str) -> DataFrame:
+    """rows (g, a, b): the columns that ``fold(names, x, y)`` makes of whole groups, names in order and edges as numbers of them."""
+
+    def folded(table: pa.Table) -> pa.RecordBatch:
+        ends = pa.chunked_array([*table["a"].chunks, *table["b"].chunks]).combine_chunks()
+        ends = (ends if isinstance(ends, pa.Array) else pa.concat_arrays(ends.chunks)).dictionary_encode()
+        order = pc.array_sort_indices(ends.dictionary)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        code = rank[ends.indices.to_numpy()]
+        return pa.RecordBatch.from_arrays(fold(ends.dictionary.take(order), code[: len(table)], code[len(table) :]), [f.split()[0] for f in schema.split(",")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            g = batch["g"].to_numpy()
+            if not len(g):
+                continue
+            cut = int(np.searchsorted(g, g[-1]))
+            # what is held has one group, which may go on
+            if held and g[0] != held[0]["g"][0].as_py():
+                yield folded(pa.Table.from_batches(held))
+                held = []
+            if cut:
+                yield folded(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield folded(pa.Table.from_batches(held))
+
+    return rows.repartition(partitions(rows.sparkSession), "g").sortWithinPartitions("g").mapInArrow(run, schema)
+
+
+def block_counts(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many blocks hold each of the vertices 0 .. n - 1, with edges x[k], y[k]; a walk in depth, vertex by vertex."""
+    src = np.concatenate([x, y])
+    to = np.concatenate([y, x])[np.argsort(src, kind="stable")].tolist()
+    ends = np.cumsum(np.bincount(src, minlength=n)).tolist()
+    at = [0, *ends[:-1]]
+    seen, low, up, held, now = [0] * n, [0] * n, [-1] * n, [0] * n, 0
+    for top in range(n):
+        if seen[top]:
+            continue
+        now += 1
+        seen[top] = low[top] = now
+        path = [top]
+        while path:
+            v = path[-1]
+            if at[v] < ends[v]:
+                w = to[at[v]]
+                at[v] += 1
+                if not seen[w]:
+                    now += 1
+                    seen[w] = low[w] = now
+                    up[w], held[w] = v, 1  # the block of the edge to it
+                    path.append(w)
+                elif w != up[v] and seen[w] < low[v]:
+                    low[v] = seen[w]
+            else:
+                path.pop()
+                u = up[v]
+                if u >= 0:
+                    low[u] = min(low[u], low[v])
+                    held[u] += low[v] >= seen[u]  # v is the first vertex of a block of u
+    return np.array(held, dtype=np.int64)
+
+
+def _points(names: pa.Array, x: np.ndarray, y: np.ndarray) -> list:
+    held = block_counts(len(names), x, y)
+    cut = np.flatnonzero(held > 1)
+    return [names.take(pa.array(cut)), pa.array(held[cut])]
+
+
+def _split(names: pa.Array, x: np.ndarray, y: np.ndarray) -> list:
+    cut = block_counts(len(names), x, y) > 1
+    kept = ~(cut[x] | cut[y])
+    root = local.components(len(names), x[kept], y[kept])
+    return [names, pa.array(cut), names.take(pa.array(root, mask=cut))]
+
+
+def articulation_points(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
     """(vertex, n_blocks): vertices whose loss splits their component, and into how many parts.
 
-    Such a vertex has edges in several blocks: its own tree edge's and those of its children.
+    Such a vertex has edges in several blocks: its own tree edge's and those of its children. Components of up to
+    ``small`` edges are walked in one task each, larger ones by ``biconnected_components``' steps.
     """
-    named, _, names = _blocks(edges, a, b)
-    return _renamed(_cut(named), names, "vertex").select("vertex", "n_blocks")
+    few, many, both = _by_component(edges, a, b, small)
+    found = _walked(few, _points, f"vertex {both.schema['a'].dataType.simpleString()}, n_blocks bigint")
+    if many.isEmpty():
+        return found
+    named, _, names = _blocks(many, "a", "b")
+    return found.unionByName(_renamed(_cut(named), names, "vertex").select("vertex", "n_blocks"))
 
 
 def _cut(named: DataFrame) -> DataFrame:
@@ -199,12 +312,19 @@ def _cut(named: DataFrame) -> DataFrame:
     return held.groupBy("vertex").agg(F.count("*").alias("n_blocks")).filter("n_blocks > 1")
 
 
-def split_chimeras(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def split_chimeras(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
     """(vertex, chimeric, root): articulation points are rejected, root null; the others are grouped anew without them.
 
-    Vertices that are then alone are their own root.
+    Vertices that are then alone are their own root. Components of up to ``small`` edges are walked in one task each.
     """
-    e, names = _numbered(_plain(edges, a, b))
+    few, many, both = _by_component(edges, a, b, small)
+    kind = both.schema["a"].dataType.simpleString()
+    found = _walked(few, _split, f"vertex {kind}, chimeric boolean, root {kind}")
+    return found if many.isEmpty() else found.unionByName(_split_large(many))
+
+
+def _split_large(edges: DataFrame) -> DataFrame:
+    e, names = _numbered(_plain(edges, "a", "b"))
     cut = written(_cut(_blocks_of(e)[0]).select("vertex"), "chimeras")
     ends = e.select(F.col("a").alias("vertex")).union(e.select("b")).distinct()
     kept = e.join(cut.withColumnRenamed("vertex", "a"), "a", "left_anti").join(cut.withColumnRenamed("vertex", "b"), "b", "left_anti")

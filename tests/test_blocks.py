@@ -89,3 +89,34 @@ def test_chimeras_are_cut_out(spark):
 def test_no_edges(spark, rows):
     df = spark.createDataFrame(rows, "a long, b long")
     assert blocks.articulation_points(df).collect() == [] and blocks.biconnected_components(df).collect() == [] and blocks.split_chimeras(df).collect() == []
+
+
+def regrouped(edges):
+    """vertex -> root without the points, None for a point."""
+    adjacent = adjacency(edges)
+    cut = {v for v, n in parts(edges).items() if n > 1}
+    rest = adjacency([e for e in edges if not cut & set(e)])
+    return {v: None if v in cut else min(reached(rest, v, None)) if v in rest else v for v in adjacent}
+
+
+def test_small_components_are_walked_where_they_lie(spark, monkeypatch):
+    """No rounds of tours for components that fit a task, whatever the batches that they come in."""
+    monkeypatch.setattr(blocks, "euler_tours", None)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for seed, name in ((4, int), (5, "v{}".format)):
+            edges = [tuple(None if v is None else name(v) for v in e) for e in graph(seed)]
+            df = spark.createDataFrame(edges, "a long, b long" if name is int else "a string, b string")
+            assert {r["vertex"]: r["n_blocks"] for r in blocks.articulation_points(df).collect()} == {v: n for v, n in parts(edges).items() if n > 1}
+            got = {r["vertex"]: (r["chimeric"], r["root"]) for r in blocks.split_chimeras(df).collect()}
+            assert got == {v: (root is None, root) for v, root in regrouped(edges).items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_large_components_take_the_rounds(spark):
+    edges = [e for e in graph(6) if None not in e and e[0] < 2100 and not 1000 <= e[0] < 2000]
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r["vertex"]: r["n_blocks"] for r in blocks.articulation_points(df, small=12).collect()} == {v: n for v, n in parts(edges).items() if n > 1}
+    got = {r["vertex"]: (r["chimeric"], r["root"]) for r in blocks.split_chimeras(df, small=12).collect()}
+    assert got == {v: (root is None, root) for v, root in regrouped(edges).items()}
