@@ -58,10 +58,12 @@ def orthology_classes(edges: DataFrame, nodes: DataFrame | None = None, roots: D
     """
     if roots is None:
         roots = connected_components(edges, "r", "q")
-    member = edges.distinct().join(roots, F.col("q") == F.col("vertex")).select("r", "q", F.col("root").alias("comp"))
-    found = member.groupBy("comp").agg(
-        F.countDistinct("r").alias("n_ref"), F.countDistinct("q").alias("n_query"), F.count("*").alias("n_edges")
-    )
+    # a gene is in one component, so genes are counted by themselves first, each with one row
+    pairs = edges.select("r", "q").distinct()
+    query = pairs.groupBy(F.col("q").alias("gene")).agg(F.count("*").alias("n")).withColumn("ref", F.lit(False))
+    ref = pairs.select(F.col("r").alias("gene")).distinct().select("gene", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("ref"))
+    member = query.unionByName(ref).join(roots, F.col("gene") == F.col("vertex"))
+    found = member.groupBy(F.col("root").alias("comp")).agg(F.count_if("ref").alias("n_ref"), F.count_if(~F.col("ref")).alias("n_query"), F.sum("n").alias("n_edges"))
     if nodes is not None:
         alone = nodes.select("r").distinct().join(edges, "r", "left_anti")
         found = found.unionByName(alone.select(F.col("r").alias("comp"), F.lit(1).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_query"), F.lit(0).cast("bigint").alias("n_edges")))

@@ -76,14 +76,17 @@ def pseudogene_track(projections: DataFrame) -> DataFrame:
     return groups.select("chrom", F.element_at("p", 1)["q_start"].alias("start"), F.element_at("p", -1)["q_end"].alias("end"), name.alias("name"), "strand")
 
 
-def orthology_table(members: DataFrame, isoforms: DataFrame, projections: DataFrame, query_genes: DataFrame) -> DataFrame:
+def orthology_table(members: DataFrame, isoforms: DataFrame, projections: DataFrame, query_genes: DataFrame | None = None) -> DataFrame:
     """(r, tx, q, proj, class): every projection between two genes of one component.
 
     members (comp, class, gene) has reference and query genes, isoforms (r, tx), projections
-    (tx, proj), query_genes (proj, q). Transcripts of one2zero genes have null q and proj.
+    (tx, proj), query_genes (proj, q). Without ``query_genes`` projections have their q themselves. Transcripts of
+    one2zero genes have null q and proj.
     """
+    if query_genes is not None:
+        projections = projections.select("tx", "proj").join(query_genes.select("proj", "q"), "proj")
     refs = members.select("comp", "class", F.col("gene").alias("r")).join(isoforms, "r")
-    linked = refs.filter("class <> 'one2zero'").join(projections, "tx").join(query_genes, "proj")
+    linked = refs.filter("class <> 'one2zero'").join(projections.select("tx", "proj", "q"), "tx")
     linked = linked.join(members.select("comp", F.col("gene").alias("q")), ["comp", "q"], "left_semi").select("r", "tx", "q", "proj", "class")
     alone = refs.filter("class = 'one2zero'").select("r", "tx", F.lit(None).cast(linked.schema["q"].dataType).alias("q"), F.lit(None).cast(linked.schema["proj"].dataType).alias("proj"), "class")
     return linked.unionByName(alone)
