@@ -49,6 +49,25 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return leaves.unionByName(leaves.select(F.col("root").alias("vertex"), "root").distinct())
 
 
+def bipartite_components(edges: DataFrame, r: str = "r", q: str = "q") -> DataFrame:
+    """``connected_components`` of edges between two kinds of vertices that have no name in common.
+
+    Every r links its q to the least of them, so rounds move the links between q only; an r follows its least q.
+    Links of an r with many q meet in an equi-join after an aggregation, as in a round.
+    """
+    pairs = edges.select(F.col(r).alias("r"), F.col(q).alias("q")).filter("r IS NOT NULL AND q IS NOT NULL")
+    least = written(pairs.groupBy("r").agg(F.min("q").alias("m")), "least-ends")
+    roots = connected_components(pairs.join(least, "r").filter("q <> m"), "q", "m")
+    held = written(least.join(roots, F.col("m") == F.col("vertex"), "left").select("r", "m", "root"), "held-ends")
+    discard(least)
+    mine = held.select(F.col("r").alias("vertex"), F.coalesce("root", "m").alias("root"))
+    # a q that no r links to another one is its own root
+    alone = held.filter("root IS NULL").select(F.col("m").alias("vertex"), F.col("m").alias("root")).distinct()
+    low = mine.groupBy("root").agg(F.min("vertex").alias("low")).filter("low < root")
+    found = mine.unionByName(alone).unionByName(roots).join(low, "root", "left")
+    return found.select("vertex", F.coalesce("low", "root").alias("root"))
+
+
 def orthology_classes(edges: DataFrame, nodes: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
     """(comp, n_ref, n_query, n_edges, class, complete) of a bipartite (r, q) edge table.
 

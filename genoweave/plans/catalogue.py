@@ -259,12 +259,14 @@ k AS (SELECT comp, count(DISTINCT r) AS n_ref, count(DISTINCT q) AS n_query, cou
 @_register(f"""WITH RECURSIVE {_CLASS} SELECT *, CASE WHEN n_query = 0 THEN 'one2zero' WHEN n_ref = 1 AND n_query = 1 THEN 'one2one' WHEN n_ref = 1 THEN 'one2many' WHEN n_query = 1 THEN 'many2one' ELSE 'many2many' END AS class, n_edges = n_ref * n_query AS complete FROM k""")
 def orthology_class(spark, d):
     nodes = X.table(spark, d, "orders").selectExpr("concat('R', o_orderkey) AS r")
-    return G.orthology_classes(X.edges(spark, d).drop("weight"), nodes)
+    edges = X.edges(spark, d).drop("weight")
+    return G.orthology_classes(edges, nodes, G.bipartite_components(edges))
 
 
 @_register(f"WITH RECURSIVE {_CLASS} SELECT comp FROM k WHERE n_query > 0 AND n_edges = n_ref * n_query")
 def bipartite_complete(spark, d):
-    return G.orthology_classes(X.edges(spark, d).drop("weight")).filter("complete").select("comp")
+    edges = X.edges(spark, d).drop("weight")
+    return G.orthology_classes(edges, None, G.bipartite_components(edges)).filter("complete").select("comp")
 
 
 @_register(f"""WITH RECURSIVE {X.EDGES}, {X.COMPONENTS}, e AS (SELECT r, q, weight, comp, count(*) OVER (PARTITION BY r) = 1 OR count(*) OVER (PARTITION BY q) = 1 AS leaf FROM edges JOIN comp ON q = node),

@@ -1,5 +1,7 @@
 """Orthology classes and tables count genes by themselves and move projections once."""
 
+import random
+
 from genoweave.operators import graph as G
 from genoweave.operators import results as R
 from genoweave.plans import results
@@ -32,3 +34,15 @@ def test_the_table_shuffles_projections_for_two_joins_only(spark, capsys):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     exchanges = [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x]
     assert len([x for x in exchanges if "proj#" in x.split("],")[0].split("hashpartitioning(")[1].split("), ")[0]]) == 0
+
+
+def test_components_by_the_lesser_side(spark):
+    """Roots are the least names of whole components, whichever side has them; a pair alone, null ends, repeated edges."""
+    rng = random.Random(2)
+    for left, right in (("r", "x"), ("x", "r")):
+        edges = [(f"{left}{rng.randrange(60):02}", f"{right}{rng.randrange(70):02}") for _ in range(55)] + [(f"{left}{i}", f"{right}hub") for i in range(200, 260)]
+        edges += [(f"{left}a", f"{right}a"), (f"{left}b", f"{right}b"), (f"{left}b", f"{right}b"), (None, f"{right}c"), (f"{left}d", None)]
+        df = spark.createDataFrame(edges, "r string, q string")
+        want = {tuple(x) for x in G.connected_components(df, "r", "q").collect()}
+        got = [tuple(x) for x in G.bipartite_components(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
